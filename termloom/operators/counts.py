@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from termloom.functions.text import TERM_CHARS
 from termloom.operators.lookup import Dictionary, as_dictionary, is_small_scan, salted_join
 from termloom.operators.tokens import clean_tokens, vocabulary
+from termloom.session import materialize
 
 MIN_TOTAL = 3
 
@@ -44,6 +45,32 @@ def _dictionary_texts(
     return texts, doc
 
 
+def _with_doc_ids(counts: DataFrame, docs: Dictionary, doc: str) -> DataFrame:
+    """``doc_id`` in place of the document key, unless the texts have it already.
+
+    At most one row per document and term is left here, so no document is a hot key any more.
+    """
+    return counts if doc == "doc_id" else counts.join(_entries(docs, doc, "doc_id"), doc).drop(doc)
+
+
+def word_doc_counts(
+    corpus: DataFrame,
+    docs: Dictionary | DataFrame,
+    *,
+    doc_key: str = "doc_name",
+    text: str = "text",
+    keep: str = TERM_CHARS,
+    lowercase: bool = False,
+    spread_small: bool = True,
+) -> DataFrame:
+    """``(term, doc_id, freq)`` of every word, before any term dictionary."""
+    docs = as_dictionary(docs)
+    texts, doc = _dictionary_texts(corpus, docs, doc_key, text, spread_small)
+    tokens = clean_tokens(texts, text, keep, lowercase)
+    counts = tokens.groupBy("term", doc).agg(F.count(F.lit(1)).alias("freq"))
+    return _with_doc_ids(counts, docs, doc).select("term", "doc_id", "freq")
+
+
 def term_doc_counts(
     corpus: DataFrame,
     terms: Dictionary | DataFrame,
@@ -59,21 +86,20 @@ def term_doc_counts(
     """``(term_id, doc_id, freq)``: how often each dictionary term stands in each dictionary document.
 
     ``corpus`` has any number of rows per document. The only shuffle of the usual case is that of partial
-    counts by (term, document), which no single term or document can skew.
+    counts by (term, document), which no single term or document can skew. Words meet a dictionary beyond
+    the broadcast limit after they are counted, in a salted join.
     """
     docs = as_dictionary(docs)
     vocab = vocabulary(terms, stopwords)
+    if not vocab.fits():
+        options = dict(doc_key=doc_key, text=text, keep=keep, lowercase=lowercase, spread_small=spread_small)
+        pairs = materialize(word_doc_counts(corpus, docs, **options), "pairs")
+        return salted_join(pairs, _entries(vocab, "term", "term_id"), "term").select("term_id", "doc_id", "freq")
     texts, doc = _dictionary_texts(corpus, docs, doc_key, text, spread_small)
     tokens = clean_tokens(texts, text, keep, lowercase)
-    freq = F.count(F.lit(1)).alias("freq")
-    if vocab.fits():
-        counts = tokens.join(F.broadcast(_entries(vocab, "term", "term_id")), "term").groupBy("term_id", doc).agg(freq)
-    else:
-        counts = salted_join(tokens.groupBy("term", doc).agg(freq), _entries(vocab, "term", "term_id"), "term")
-    if doc == doc_key:
-        # At most one row per document and dictionary term is left, so no document is a hot key any more.
-        counts = counts.join(_entries(docs, doc_key, "doc_id"), doc_key)
-    return counts.select("term_id", "doc_id", "freq")
+    known = tokens.join(F.broadcast(_entries(vocab, "term", "term_id")), "term")
+    counts = known.groupBy("term_id", doc).agg(F.count(F.lit(1)).alias("freq"))
+    return _with_doc_ids(counts, docs, doc).select("term_id", "doc_id", "freq")
 
 
 def corpus_term_totals(
@@ -91,29 +117,22 @@ def corpus_term_totals(
     """``(term_id, total)`` straight from the tokens.
 
     The sum over documents of the counts is the number of tokens, so no (term, document) pair has to be
-    formed or shuffled: what travels is one partial count per term and task.
+    formed or shuffled: what travels is one partial count per term and task. Only a document dictionary
+    beyond the broadcast limit needs the pairs.
     """
     docs = as_dictionary(docs)
     vocab = vocabulary(terms, stopwords)
-    if not (vocab.fits() and docs.fits()):
-        return term_totals(
-            term_doc_counts(
-                corpus,
-                terms,
-                docs,
-                stopwords,
-                doc_key=doc_key,
-                text=text,
-                keep=keep,
-                lowercase=lowercase,
-                spread_small=spread_small,
-            )
-        )
+    options = dict(doc_key=doc_key, text=text, keep=keep, lowercase=lowercase, spread_small=spread_small)
+    if not docs.fits():
+        return term_totals(term_doc_counts(corpus, terms, docs, stopwords, **options))
     texts, _ = _dictionary_texts(corpus, docs, doc_key, text, spread_small)
     tokens = clean_tokens(texts.select(text), text, keep, lowercase)
-    return tokens.join(F.broadcast(_entries(vocab, "term", "term_id")), "term").groupBy("term_id").agg(
-        F.count(F.lit(1)).alias("total")
-    )
+    total = F.count(F.lit(1)).alias("total")
+    if vocab.fits():
+        return tokens.join(F.broadcast(_entries(vocab, "term", "term_id")), "term").groupBy("term_id").agg(total)
+    # Both sides have one row per word by now.
+    words = tokens.groupBy("term").agg(total)
+    return words.join(_entries(vocab, "term", "term_id"), "term").select("term_id", "total")
 
 
 def term_totals(matrix: DataFrame) -> DataFrame:
@@ -121,12 +140,12 @@ def term_totals(matrix: DataFrame) -> DataFrame:
     return matrix.groupBy("term_id").agg(F.sum("freq").alias("total"))
 
 
-def term_stats(matrix: DataFrame) -> DataFrame:
+def term_stats(matrix: DataFrame, by: str = "term_id") -> DataFrame:
     """``(term_id, total, df)``: corpus total and document frequency in one aggregate.
 
     The rare-term filter drops whole terms, so a kept term's ``df`` is the same before and after it.
     """
-    return matrix.groupBy("term_id").agg(F.sum("freq").alias("total"), F.count(F.lit(1)).alias("df"))
+    return matrix.groupBy(by).agg(F.sum("freq").alias("total"), F.count(F.lit(1)).alias("df"))
 
 
 def frequent_terms(totals: DataFrame, min_total: int = MIN_TOTAL) -> DataFrame:
@@ -137,21 +156,38 @@ def rare_terms(totals: DataFrame, min_total: int = MIN_TOTAL) -> DataFrame:
     return totals.where(F.col("total") < min_total)
 
 
-def join_term_stats(matrix: DataFrame, stats: DataFrame, terms: Dictionary | None = None) -> DataFrame:
+def _may_broadcast_stats(terms: Dictionary | None) -> bool:
+    """Whether statistics of a few numbers per term are small, going by the dictionary of the matrix."""
+    return terms is not None and terms.fits_per_row(4 * 8)
+
+
+def reusable(matrix: DataFrame, terms: Dictionary | None) -> DataFrame:
+    """The matrix itself where one plan can use it twice, else a stored copy.
+
+    With broadcast statistics the aggregate and the join share the exchange that counted the matrix.
+    """
+    return matrix if _may_broadcast_stats(terms) else materialize(matrix, "matrix")
+
+
+def join_term_stats(
+    matrix: DataFrame, stats: DataFrame, terms: Dictionary | None = None, by: str = "term_id"
+) -> DataFrame:
     """Matrix rows with the columns of ``stats``, one row per term there, whose ``df`` counts matrix rows.
 
     ``terms`` is the dictionary the matrix was built with and bounds the number of statistics; with it small
     enough they are broadcast and the matrix is not shuffled. Otherwise frequent terms are salted.
     """
-    if terms is not None and terms.fits_per_row(8 * len(stats.columns)):
-        return matrix.join(F.broadcast(stats), "term_id")
-    return salted_join(matrix, stats, "term_id", rows_per_key=stats.select("term_id", F.col("df").alias("n")))
+    if _may_broadcast_stats(terms):
+        return matrix.join(F.broadcast(stats), by)
+    stats = materialize(stats, "stats")
+    return salted_join(matrix, stats, by, rows_per_key=stats.select(by, F.col("df").alias("n")))
 
 
 def low_frequency_filter(
     matrix: DataFrame, min_total: int = MIN_TOTAL, terms: Dictionary | None = None
 ) -> DataFrame:
     """Matrix rows of terms that occur at least ``min_total`` times in the corpus."""
+    matrix = reusable(matrix, terms)
     kept = frequent_terms(term_stats(matrix), min_total)
     return join_term_stats(matrix, kept, terms).select("term_id", "doc_id", "freq")
 

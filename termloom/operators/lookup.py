@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from termloom.session import materialize
+
 # Measured bytes up to which one side of a join may be sent to every executor.
 BROADCAST_LIMIT = 64 << 20
 # Allowance per row for the hash table around the column values.
@@ -75,16 +77,20 @@ def salted_join(
     into slices by a hash of the row, as many as their share asks for, and their row of ``small`` is copied
     to each slice. Fewer than P keys can hold more than 1/P each, so the list of hot keys that is broadcast
     has fewer than P rows and ``small`` grows by fewer than 2P rows, whatever the data.
-    ``rows_per_key`` is ``(key, n)`` when those counts are known already.
+
+    The hot keys are found in a job of their own, with one partial count per key and task, so ``big`` is
+    evaluated twice; write it down first where that is costly. ``rows_per_key`` is ``(key, n)`` when those
+    counts are known already.
     """
     slices = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if rows_per_key is None:
         rows_per_key = big.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     total = rows_per_key.agg(F.sum("n").alias("all_rows"))
-    hot = (
+    hot = materialize(
         rows_per_key.crossJoin(F.broadcast(total))
         .where(F.col("n") * slices > F.col("all_rows"))
-        .select(key, F.ceil(F.col("n") * slices / F.col("all_rows")).cast("int").alias("salts"))
+        .select(key, F.ceil(F.col("n") * slices / F.col("all_rows")).cast("int").alias("salts")),
+        "hot",
     )
     salts = F.coalesce("salts", F.lit(1))
     slice_of_row = F.pmod(F.xxhash64(*big.columns), salts).cast("int")
@@ -112,7 +118,6 @@ def is_small_scan(spark: SparkSession, scan: DataFrame, limit: int = 1 << 30) ->
     Such an input may hold a single row group and would keep all but one core idle, so it is worth a
     shuffle of its text. Large inputs have splits enough and are never shuffled as raw text.
     """
-    files = scan.inputFiles()
-    if not files or len(files) >= spark.sparkContext.defaultParallelism:
+    if int(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) > limit:
         return False
-    return int(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= limit
+    return 0 < len(scan.inputFiles()) < spark.sparkContext.defaultParallelism

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from termloom.functions.text import class_of
 from termloom.operators.lookup import Dictionary, as_dictionary, lookup
 from termloom.operators.tokens import decode_terms
+from termloom.session import materialize
 
 TOP_TERMS = 10
 TOP_PER_CLASS = 5
@@ -55,8 +56,11 @@ def avg_tfidf_by_class(
     weights: DataFrame, docs: Dictionary | DataFrame, terms: Dictionary | DataFrame
 ) -> DataFrame:
     """``(class, term, avg_tfidf)``: the sum over a class divided by all its dictionary documents."""
-    docs = as_dictionary(docs)
-    sums = decode_terms(sum_tfidf_by_class(weights, docs), terms)
+    docs, terms = as_dictionary(docs), as_dictionary(terms)
+    sums = sum_tfidf_by_class(weights, docs)
+    if not terms.fits():
+        sums = materialize(sums, "sums")
+    sums = decode_terms(sums, terms)
     sizes = Dictionary(class_sizes(docs.df), docs.limit)
     return lookup(sums, sizes, "class").select(
         "class", "term", (F.col("sum_tfidf") / F.col("n_docs")).alias("avg_tfidf")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.functions.scores import inverse_document_frequency, term_frequency
-from termloom.operators.counts import MIN_TOTAL, frequent_terms, join_term_stats, term_stats
+from termloom.operators.counts import MIN_TOTAL, frequent_terms, join_term_stats, reusable, term_stats
 from termloom.operators.lookup import Dictionary
 
 
@@ -39,6 +39,11 @@ def _with_tf(kept: DataFrame) -> DataFrame:
     return kept.withColumn("tf", term_frequency(F.col("freq"), length))
 
 
+def weigh(kept: DataFrame) -> DataFrame:
+    """``(term_id, doc_id, tfidf)`` of kept matrix rows that carry the ``idf`` of their term."""
+    return _with_tf(kept).select("term_id", "doc_id", (F.col("tf") * F.col("idf")).alias("tfidf"))
+
+
 def idf(stats: DataFrame, n_docs: DataFrame, smooth: bool = True) -> DataFrame:
     """``stats`` with an ``idf`` column; ``n_docs`` is the one-row corpus size."""
     weight = inverse_document_frequency(F.col("n_docs"), F.col("df"), smooth)
@@ -57,6 +62,6 @@ def tfidf(
     Filter and idf come from one aggregate per term and reach the matrix in one join; the weight is
     computed once per term. A matrix filtered before may be passed with the same or a lower threshold.
     """
+    matrix = reusable(matrix, terms)
     stats = idf(frequent_terms(term_stats(matrix), min_total), n_docs, smooth).select("term_id", "df", "idf")
-    kept = join_term_stats(matrix, stats, terms)
-    return _with_tf(kept).select("term_id", "doc_id", (F.col("tf") * F.col("idf")).alias("tfidf"))
+    return weigh(join_term_stats(matrix, stats, terms))

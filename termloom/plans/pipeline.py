@@ -12,7 +12,7 @@ from termloom.operators import counts as C
 from termloom.operators import toplists as L
 from termloom.operators import weights as W
 from termloom.operators.lookup import Dictionary, as_dictionary
-from termloom.operators.tokens import decode_documents
+from termloom.operators.tokens import decode_documents, vocabulary
 from termloom.session import materialize
 from termloom.sinks.text import write_matrix, write_per_document, write_rows
 from termloom.sources.corpus import count_corpus_files, read_corpus
@@ -63,16 +63,36 @@ class TermStatistics:
     def _options(self) -> dict:
         return {"doc_key": self.doc_key, "keep": self.keep, "lowercase": self.lowercase}
 
+    # A term dictionary beyond the broadcast limit: words are counted and written down first, their
+    # statistics meet the dictionary (one row per word on both sides), and a single salted join takes
+    # ids, filter and weights back to the word counts.
+
+    @cached_property
+    def _word_pairs(self) -> DataFrame:
+        return materialize(C.word_doc_counts(self.corpus, self.docs, **self._options), "pairs")
+
+    @cached_property
+    def _word_stats(self) -> DataFrame:
+        known = vocabulary(self.terms, self.stopwords).df.select("term", "term_id")
+        return materialize(C.term_stats(self._word_pairs, "term").join(known, "term"), "stats")
+
+    def _rows_with(self, stats: DataFrame) -> DataFrame:
+        return C.join_term_stats(self._word_pairs, stats, by="term")
+
     @property
     def counts(self) -> DataFrame:
         """``(term_id, doc_id, freq)``."""
         if self._stored is not None:
             return self._stored
+        if not self.terms.fits():
+            return self._rows_with(self._word_stats).select("term_id", "doc_id", "freq")
         return C.term_doc_counts(*self._inputs, **self._options)
 
     def store_counts(self) -> None:
-        """Write the count matrix down once, for several results in a row."""
-        if self._stored is None:
+        """Write the counts down once, for several results in a row."""
+        if not self.terms.fits():
+            self._word_stats  # noqa: B018 - stored by being asked for
+        elif self._stored is None:
             self._stored = materialize(self.counts, "counts")
 
     @cached_property
@@ -86,11 +106,16 @@ class TermStatistics:
         """``(term_id, total)``."""
         if self._stored is not None:
             return C.term_totals(self._stored)
+        if "_word_stats" in self.__dict__:
+            return self._word_stats.select("term_id", "total")
         return C.corpus_term_totals(*self._inputs, **self._options)
 
     @property
     def kept(self) -> DataFrame:
         """``(term_id, doc_id, freq)`` without rare terms."""
+        if not self.terms.fits():
+            kept = self._rows_with(C.frequent_terms(self._word_stats, self.min_total))
+            return kept.select("term_id", "doc_id", "freq")
         return C.low_frequency_filter(self.counts, self.min_total, self.terms)
 
     @property
@@ -104,6 +129,9 @@ class TermStatistics:
     @property
     def tfidf(self) -> DataFrame:
         """``(term_id, doc_id, tfidf)``."""
+        if not self.terms.fits():
+            kept = C.frequent_terms(self._word_stats, self.min_total)
+            return W.weigh(self._rows_with(W.idf(kept, self.corpus_size, self.smooth)))
         return W.tfidf(self.counts, self.corpus_size, self.min_total, self.terms, self.smooth)
 
     @property

@@ -30,9 +30,10 @@ def write_per_document(counts: DataFrame, path: str) -> None:
     """``(doc_name, term_id, freq)`` as one folder ``doc_name=…`` per document, in one job.
 
     Counts are regrouped by document first, so a document is one file; it has at most one row per
-    dictionary term.
+    dictionary term. The number of tasks is given, as creating files takes longer than the rows suggest.
     """
-    counts.repartition("doc_name").select(
+    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts.repartition(tasks, "doc_name").select(
         "doc_name", F.concat_ws("\t", F.col("term_id").cast("string"), F.col("freq").cast("string")).alias("value")
     ).write.partitionBy("doc_name").text(path)
 

@@ -51,14 +51,15 @@ def inventory(paths: DataFrame, path: str = "path") -> DataFrame:
 
 def corpus_inventory(spark: SparkSession, root: str) -> DataFrame:
     """:func:`inventory` of a corpus folder. Like every Spark file scan it shows no empty file."""
-    files = spark.read.format("binaryFile").load(_files(root)).select("path")
-    return inventory(files.select(path_text(F.col("path")).alias("path")))
+    # This source gives plain paths, unlike the escaped ones of ``_metadata``, and reads no contents here.
+    return inventory(spark.read.format("binaryFile").load(_files(root)).select("path"))
 
 
 def count_corpus_files(spark: SparkSession, root: str) -> DataFrame:
     """``(n_docs)``, one row: files of all class folders, empty ones included.
 
-    The number comes from the file index the scan keeps anyway; no file is opened.
+    The number comes from the file index the scan keeps anyway: no file is opened and no name leaves the
+    JVM, only the length of the list.
     """
-    n_files = len(spark.read.text(_files(root)).inputFiles())
+    n_files = len(spark.read.text(_files(root))._jdf.inputFiles())
     return spark.range(1).select(F.lit(n_files).cast("bigint").alias("n_docs"))

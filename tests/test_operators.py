@@ -1,0 +1,300 @@
+"""Operators against brute force, under ties, skew, other partitionings and beyond the broadcast limit."""
+
+import collections
+import math
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from termloom import TermStatistics
+from termloom.operators import counts as C
+from termloom.operators import tokens as T
+from termloom.operators import toplists as L
+from termloom.operators import weights as W
+from termloom.operators.lookup import Dictionary, lookup, salted_join
+from termloom.sources.corpus import corpus_from_table
+
+
+def frame(spark, rows, schema):
+    return spark.createDataFrame(rows, schema)
+
+
+# A corpus where one term and one document hold most of the rows
+
+
+WORDS = ["hot", "Hot", "cold", "mild", "tea", "cup", "a1", "zz", "rare", "once"]
+STOPS = {"tea"}
+PUNCT = ["", ".", ",", "'s", "-x", "é", "\x0b"]
+
+
+def skewed_rows():
+    rng = random.Random(5)
+    rows = []
+    for i in range(120):
+        n = 400 if i == 7 else rng.randint(0, 12)
+        toks = []
+        for _ in range(n):
+            word = "hot" if rng.random() < 0.4 else rng.choice(WORDS[1:9])
+            toks.append(rng.choice(PUNCT[:2]) + word + rng.choice(PUNCT))
+        if i == 3:
+            toks += ["once", "?!", "unknown"]
+        rows.append((i, rng.choice([" ", "\n", "\t ", "\r\n", "\f"]).join(toks), rng.choice("pqr")))
+    return rows
+
+
+ROWS = skewed_rows()
+TERMS = {w: i for i, w in enumerate(WORDS, 1)}
+DOCS = {i: 1000 - i for i in range(120) if i % 5}
+
+
+def brute_force(min_total=3):
+    counts = collections.Counter()
+    for i, text, _ in ROWS:
+        for token in re.split(r"[ \t\n\r\f]+", text):
+            term = re.sub(r"[^a-zA-Z0-9]", "", token)
+            if term not in STOPS and term in TERMS and i in DOCS:
+                counts[TERMS[term], DOCS[i]] += 1
+    totals, lengths, dfs = collections.Counter(), collections.Counter(), collections.Counter()
+    for (t, _), n in counts.items():
+        totals[t] += n
+    kept = {k: n for k, n in counts.items() if totals[k[0]] >= min_total}
+    for (t, d), n in kept.items():
+        lengths[d] += n
+        dfs[t] += 1
+    weights = {
+        (t, d): n / lengths[d] * (math.log((len(ROWS) + 1) / (dfs[t] + 1)) + 1) for (t, d), n in kept.items()
+    }
+    labels = {DOCS[i]: c for i, _, c in ROWS if i in DOCS}
+    sizes = collections.Counter(labels.values())
+    words = {i: w for w, i in TERMS.items()}
+    averages = collections.Counter()
+    for (t, d), w in weights.items():
+        averages[labels[d], words[t]] += w
+    averages = {k: v / sizes[k[0]] for k, v in averages.items()}
+    return dict(counts), dict(totals), kept, weights, averages
+
+
+@pytest.fixture(scope="module")
+def make_run(spark):
+    table = frame(spark, ROWS, "id bigint, text string, label string")
+    corpus = corpus_from_table(table, "id", "text", "label")
+    terms = frame(spark, [(i, w) for w, i in TERMS.items()], "term_id bigint, term string")
+    docs = corpus.select("src_id", "doc_name").join(
+        frame(spark, list(DOCS.items()), "src_id bigint, doc_id bigint"), "src_id"
+    )
+    stops = frame(spark, [(w,) for w in STOPS], "term string")
+
+    def build(terms_limit=1 << 20, docs_limit=1 << 20, doc_key="src_id", **options):
+        return TermStatistics(
+            corpus, Dictionary(terms, terms_limit), Dictionary(docs, docs_limit), stops, doc_key=doc_key, **options
+        )
+
+    return build
+
+
+LIMITS = [(1 << 20, 1 << 20), (0, 1 << 20), (1 << 20, 0), (0, 0)]
+
+
+@pytest.mark.parametrize("limits,doc_key", list(zip(LIMITS, ["src_id", "src_id", "doc_name", "doc_name"])))
+def test_pipeline_equals_brute_force(make_run, limits, doc_key):
+    counts, totals, kept, weights, averages = brute_force()
+    run = make_run(*limits, doc_key=doc_key)
+    assert {(r["term_id"], r["doc_id"]): r["freq"] for r in run.counts.collect()} == counts
+    assert dict(run.totals.select("term_id", "total").collect()) == totals
+    assert {(r["term_id"], r["doc_id"]): r["freq"] for r in run.kept.collect()} == kept
+    got = {(r["term_id"], r["doc_id"]): r["tfidf"] for r in run.tfidf.collect()}
+    assert got == pytest.approx(weights)
+    got = {(r["class"], r["term"]): r["avg_tfidf"] for r in run.class_averages.collect()}
+    assert got == pytest.approx(averages)
+    top = [(r["term"], r["frequency"]) for r in run.top_terms_of(3).collect()]
+    words = {i: w for w, i in TERMS.items()}
+    want = sorted(((n, words[t]) for t, n in totals.items()), key=lambda x: (-x[0], x[1]))[:3]
+    assert top == [(w, n) for n, w in reversed(want)]
+
+
+def test_operators_equal_brute_force_beyond_broadcast(make_run):
+    counts, totals, kept, weights, _ = brute_force()
+    run = make_run(0, 0)
+    matrix = C.term_doc_counts(run.corpus, run.terms, run.docs, run.stopwords, doc_key="src_id")
+    assert {(r["term_id"], r["doc_id"]): r["freq"] for r in matrix.collect()} == counts
+    assert {(r["term_id"], r["doc_id"]): r["freq"] for r in C.low_frequency_filter(matrix).collect()} == kept
+    got = {(r["term_id"], r["doc_id"]): r["tfidf"] for r in W.tfidf(matrix, run.corpus_size).collect()}
+    assert got == pytest.approx(weights)
+    for limits in LIMITS[1:]:
+        run = make_run(*limits)
+        direct = C.corpus_term_totals(run.corpus, run.terms, run.docs, run.stopwords, doc_key="src_id")
+        assert dict(direct.select("term_id", "total").collect()) == totals
+
+
+@pytest.mark.parametrize("partitions", ["1", "200"])
+def test_results_do_not_depend_on_partitions(spark, make_run, partitions):
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        for limits in (LIMITS[0], LIMITS[3]):
+            got = {(r["term_id"], r["doc_id"]): r["tfidf"] for r in make_run(*limits).tfidf.collect()}
+            assert got == pytest.approx(brute_force()[3])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_invariants(make_run):
+    run = make_run()
+    kept = run.kept
+    assert kept.groupBy("term_id", "doc_id").count().where("count > 1").count() == 0
+    assert C.term_totals(kept).where("total < 3").count() == 0
+    for row in W.term_weight_tf(kept).groupBy("doc_id").agg(F.sum("tf").alias("s")).collect():
+        assert row["s"] == pytest.approx(1.0)
+    assert W.document_frequency(kept).where(F.col("df") > len(DOCS)).count() == 0
+    stats = C.term_stats(run.counts)
+    assert C.frequent_terms(stats).count() + C.rare_terms(stats).count() == stats.count()
+    stored = make_run()
+    stored.store_counts()
+    assert stored.kept.exceptAll(kept).count() == 0
+    assert stored.totals.exceptAll(run.totals).count() == 0
+
+
+def test_filtered_matrix_gives_the_same_weights(make_run):
+    run = make_run()
+    again = W.tfidf(run.kept, run.corpus_size, min_total=1)
+    got = {(r["term_id"], r["doc_id"]): r["tfidf"] for r in again.collect()}
+    assert got == pytest.approx(brute_force()[3])
+
+
+def test_corpus_size_may_be_given(spark, make_run):
+    given = spark.sql("SELECT 500L AS n_docs")
+    run = make_run(n_docs=given)
+    dfs = dict(W.document_frequency(run.kept).select("term_id", "df").collect())
+    stats = C.frequent_terms(C.term_stats(run.counts))
+    for row in W.idf(stats, run.corpus_size).collect():
+        assert row["idf"] == pytest.approx(math.log(501 / (dfs[row["term_id"]] + 1)) + 1)
+    for row in W.idf(stats, run.corpus_size, smooth=False).collect():
+        assert row["idf"] == pytest.approx(math.log(500 / dfs[row["term_id"]]))
+
+
+# Joins under skew
+
+
+@pytest.fixture(scope="module")
+def hot_sides(spark):
+    big = spark.range(20000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 50).cast("bigint").alias("k"), "id"
+    )
+    big = big.unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS k, -1L AS id"))
+    small = spark.range(1, 40).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    return big, small
+
+
+@pytest.mark.parametrize("how", ["inner", "left_semi", "left_anti"])
+def test_salted_join_equals_plain_join(hot_sides, how):
+    big, small = hot_sides
+    want = big.join(small, "k", how)
+    got = salted_join(big, small, "k", how)
+    assert got.columns == want.columns
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    for limit in (0, 1 << 20):
+        again = lookup(big, Dictionary(small, limit), "k", how)
+        assert again.count() == want.count()
+
+
+def test_hot_key_is_cut_into_slices(spark, hot_sides):
+    big, small = hot_sides
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        joined = salted_join(big, small, "k")
+        sizes = [r["n"] for r in joined.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    # One key holds a third of all rows, which one partition would get without salt.
+    assert max(sizes) < sum(sizes) / 6
+
+
+def test_dictionary_size_is_measured(spark):
+    d = Dictionary(spark.sql("SELECT * FROM VALUES (1L, 'ab'), (2L, 'é') AS t(id, w)"), limit=100)
+    assert d.size == (2, 2 * (32 + 8) + 2 + 2)
+    assert d.fits() and not d.fits_per_row(100)
+    assert Dictionary(d.df, limit=10).fits() is False
+    assert Dictionary(d.df.where("id > 5")).size == (0, 0)
+
+
+# Text rules
+
+
+def texts(spark, *values):
+    return frame(spark, [(i, v) for i, v in enumerate(values)], "id int, text string")
+
+
+def test_token_rules(spark):
+    df = texts(spark, "  a\x0bb\tDon't\r\n\f?! the_x  Élan ", "", " \n ")
+    assert [r["token"] for r in T.tokenize(df).orderBy("id").collect()] == ["a\x0bb", "Don't", "?!", "the_x", "Élan"]
+    assert sorted(r["term"] for r in T.clean_tokens(df).collect()) == ["Dont", "ab", "lan", "thex"]
+    assert sorted(r["term"] for r in T.clean_tokens(df, lowercase=True).collect()) == ["ab", "dont", "lan", "thex"]
+    assert sorted(r["term"] for r in T.clean_tokens(df, keep=r"\p{Alnum}'_").collect()) == ["Don't", "ab", "lan", "the_x"]
+
+
+def test_stop_words_are_tested_after_cleaning_and_by_case(spark):
+    tokens = T.clean_tokens(texts(spark, "the The don't dont"))
+    stops = frame(spark, [("the",), ("don't",)], "term string")
+    assert sorted(r["term"] for r in T.remove_stopwords(tokens, stops).collect()) == ["The", "dont", "dont"]
+
+
+def test_stop_words_leave_dictionary_ids_alone(spark):
+    terms = Dictionary(frame(spark, [(1, "the"), (2, "cat")], "term_id bigint, term string"))
+    rest = T.vocabulary(terms, frame(spark, [("the",)], "term string"))
+    assert [tuple(r) for r in rest.df.select("term_id", "term").collect()] == [(2, "cat")]
+
+
+# Top lists
+
+
+@pytest.mark.parametrize("partitions", ["1", "200"])
+def test_ties_are_cut_by_term(spark, partitions):
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        names = list("mcakbjdiehgf")
+        totals = frame(spark, [(i, 5) for i in range(12)], "term_id bigint, total bigint")
+        terms = frame(spark, list(enumerate(names)), "term_id bigint, term string")
+        top = L.top_terms(totals, terms)
+        assert top.columns == ["rk", "term", "frequency"]
+        assert [r["term"] for r in top.collect()] == list("kjihgfedcb"[0:0]) + sorted(names)[:10][::-1]
+        averages = frame(spark, [("x", n, 0.1 + 0.2) for n in "gfedcba"] + [("y", "q", 0.5)], "class string, term string, avg_tfidf double")
+        best = L.top_terms_by_class(averages)
+        rows = best.where("class = 'x'").orderBy("rk").collect()
+        assert [(r["rk"], r["term"]) for r in rows] == list(enumerate("abcde", 1))
+        report = dict(L.class_report(best).collect())
+        assert report == {"x": ", ".join(f"{t}:0.300000" for t in "abcde"), "y": "q:0.500000"}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_last_bits_do_not_decide_a_rank(spark):
+    averages = frame(spark, [("x", "b", 0.1 + 0.2), ("x", "a", 0.3)], "class string, term string, avg_tfidf double")
+    rows = L.top_terms_by_class(averages, 1).collect()
+    assert [r["term"] for r in rows] == ["a"]
+
+
+def test_class_size_counts_documents_without_terms(spark):
+    docs = frame(spark, [(1, "x.1"), (2, "x.2"), (3, "nodot")], "doc_id bigint, doc_name string")
+    weights = frame(spark, [(7, 1, 1.0), (7, 3, 0.5), (7, 99, 4.0), (8, 1, 1.0)], "term_id bigint, doc_id bigint, tfidf double")
+    terms = frame(spark, [(7, "t")], "term_id bigint, term string")
+    got = {tuple(r) for r in L.avg_tfidf_by_class(weights, docs, terms).collect()}
+    assert got == {("x", "t", 0.5), ("nodot", "t", 0.5)}
+    assert [r["doc_id"] for r in T.unknown_documents(weights, docs).collect()] == [99]
+    assert [r["term_id"] for r in T.unknown_terms(weights, terms).collect()] == [8]
+
+
+def test_foreign_matrix_is_summed_first(spark):
+    m = frame(spark, [(1, 1, 2), (1, 1, 3), (2, 1, 5)], "term_id bigint, doc_id bigint, freq bigint")
+    clean = C.dedupe_triples(m)
+    assert {tuple(r) for r in clean.collect()} == {(1, 1, 5), (2, 1, 5)}
+    assert {(r["term_id"], r["tf"]) for r in W.term_weight_tf(clean).collect()} == {(1, 0.5), (2, 0.5)}
+
+
+def test_zero_length_gives_null_not_an_error(spark):
+    m = frame(spark, [(1, 1, 0)], "term_id bigint, doc_id bigint, freq bigint")
+    assert W.term_weight_tf(m).collect()[0]["tf"] is None
