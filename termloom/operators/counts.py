@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions.text import TERM_CHARS
-from termloom.operators.lookup import Dictionary, as_dictionary, is_small_scan, salted_join
+from termloom.operators.lookup import Dictionary, as_dictionary, salted_join, spread_small
 from termloom.operators.tokens import clean_tokens, vocabulary
 from termloom.session import materialize
 
@@ -25,9 +25,7 @@ def _entries(dictionary: Dictionary, *columns: str) -> DataFrame:
     return entries
 
 
-def _dictionary_texts(
-    corpus: DataFrame, docs: Dictionary, doc_key: str, text: str, spread_small: bool
-) -> tuple[DataFrame, str]:
+def _dictionary_texts(corpus: DataFrame, docs: Dictionary, doc_key: str, text: str) -> tuple[DataFrame, str]:
     """Text rows with their document column, narrowed to dictionary documents where that is cheap.
 
     With a broadcast dictionary the rows are narrowed, and get their ``doc_id``, before any text is
@@ -37,12 +35,7 @@ def _dictionary_texts(
     if docs.fits():
         texts = texts.join(F.broadcast(_entries(docs, doc_key, "doc_id")), doc_key).select("doc_id", text)
         doc = "doc_id"
-    spark = corpus.sparkSession
-    if spread_small and is_small_scan(spark, corpus):
-        # By a hash of the document, not the document itself: counting then keeps its own exchange of
-        # partial counts, which plans that use the counts twice can share.
-        texts = texts.repartition(2 * spark.sparkContext.defaultParallelism, F.xxhash64(doc))
-    return texts, doc
+    return spread_small(texts, corpus, doc), doc
 
 
 def _with_doc_ids(counts: DataFrame, docs: Dictionary, doc: str) -> DataFrame:
@@ -61,12 +54,11 @@ def word_doc_counts(
     text: str = "text",
     keep: str = TERM_CHARS,
     lowercase: bool = False,
-    spread_small: bool = True,
 ) -> DataFrame:
     """``(term, doc_id, freq)`` of every word, before any term dictionary."""
     docs = as_dictionary(docs)
-    texts, doc = _dictionary_texts(corpus, docs, doc_key, text, spread_small)
-    tokens = clean_tokens(texts, text, keep, lowercase)
+    texts, doc = _dictionary_texts(corpus, docs, doc_key, text)
+    tokens = clean_tokens(texts, text, keep, lowercase, spread=False)
     counts = tokens.groupBy("term", doc).agg(F.count(F.lit(1)).alias("freq"))
     return _with_doc_ids(counts, docs, doc).select("term", "doc_id", "freq")
 
@@ -81,7 +73,6 @@ def term_doc_counts(
     text: str = "text",
     keep: str = TERM_CHARS,
     lowercase: bool = False,
-    spread_small: bool = True,
 ) -> DataFrame:
     """``(term_id, doc_id, freq)``: how often each dictionary term stands in each dictionary document.
 
@@ -92,11 +83,11 @@ def term_doc_counts(
     docs = as_dictionary(docs)
     vocab = vocabulary(terms, stopwords)
     if not vocab.fits():
-        options = dict(doc_key=doc_key, text=text, keep=keep, lowercase=lowercase, spread_small=spread_small)
+        options = dict(doc_key=doc_key, text=text, keep=keep, lowercase=lowercase)
         pairs = materialize(word_doc_counts(corpus, docs, **options), "pairs")
         return salted_join(pairs, _entries(vocab, "term", "term_id"), "term").select("term_id", "doc_id", "freq")
-    texts, doc = _dictionary_texts(corpus, docs, doc_key, text, spread_small)
-    tokens = clean_tokens(texts, text, keep, lowercase)
+    texts, doc = _dictionary_texts(corpus, docs, doc_key, text)
+    tokens = clean_tokens(texts, text, keep, lowercase, spread=False)
     known = tokens.join(F.broadcast(_entries(vocab, "term", "term_id")), "term")
     counts = known.groupBy("term_id", doc).agg(F.count(F.lit(1)).alias("freq"))
     return _with_doc_ids(counts, docs, doc).select("term_id", "doc_id", "freq")
@@ -112,7 +103,6 @@ def corpus_term_totals(
     text: str = "text",
     keep: str = TERM_CHARS,
     lowercase: bool = False,
-    spread_small: bool = True,
 ) -> DataFrame:
     """``(term_id, total)`` straight from the tokens.
 
@@ -122,11 +112,11 @@ def corpus_term_totals(
     """
     docs = as_dictionary(docs)
     vocab = vocabulary(terms, stopwords)
-    options = dict(doc_key=doc_key, text=text, keep=keep, lowercase=lowercase, spread_small=spread_small)
+    options = dict(doc_key=doc_key, text=text, keep=keep, lowercase=lowercase)
     if not docs.fits():
         return term_totals(term_doc_counts(corpus, terms, docs, stopwords, **options))
-    texts, _ = _dictionary_texts(corpus, docs, doc_key, text, spread_small)
-    tokens = clean_tokens(texts.select(text), text, keep, lowercase)
+    texts, _ = _dictionary_texts(corpus, docs, doc_key, text)
+    tokens = clean_tokens(texts.select(text), text, keep, lowercase, spread=False)
     total = F.count(F.lit(1)).alias("total")
     if vocab.fits():
         return tokens.join(F.broadcast(_entries(vocab, "term", "term_id")), "term").groupBy("term_id").agg(total)

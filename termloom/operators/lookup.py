@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,6 +54,10 @@ class Dictionary:
         """The same dictionary less some words; ids stay as they are."""
         return self._derived(self.df.join(words.select(on), on, "left_anti"))
 
+    def summary(self, df: DataFrame) -> Dictionary:
+        """A table made from this one with no more rows, and none wider, than it."""
+        return self._derived(df) if self.fits() else Dictionary(df, self.limit)
+
     def _derived(self, df: DataFrame) -> Dictionary:
         smaller = Dictionary(df, self.limit)
         smaller.__dict__["size"] = self.size
@@ -112,12 +116,17 @@ def lookup(big: DataFrame, dictionary: Dictionary | DataFrame, key: str, how: st
     return salted_join(big, side, key, how)
 
 
-def is_small_scan(spark: SparkSession, scan: DataFrame, limit: int = 1 << 30) -> bool:
-    """Whether a plain table scan has fewer files than there are cores and is below ``limit`` bytes.
+def spread_small(rows: DataFrame, scan: DataFrame, *by: str, limit: int = 1 << 30) -> DataFrame:
+    """``rows`` over all cores where the table scan they come from is small and has fewer files than that.
 
     Such an input may hold a single row group and would keep all but one core idle, so it is worth a
-    shuffle of its text. Large inputs have splits enough and are never shuffled as raw text.
+    shuffle of its text. Inputs above ``limit`` bytes have splits enough and are never shuffled as raw text.
     """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
     if int(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) > limit:
-        return False
-    return 0 < len(scan.inputFiles()) < spark.sparkContext.defaultParallelism
+        return rows
+    if not 0 < len(scan.inputFiles()) < cores:
+        return rows
+    # By a hash of the columns, not the columns themselves: counting by document then keeps an exchange
+    # of partial counts of its own, which plans that use the counts twice can share.
+    return rows.repartition(2 * cores, F.xxhash64(*by))

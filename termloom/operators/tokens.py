@@ -2,26 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions.text import TERM_CHARS, clean_text, split_tokens
-from termloom.operators.lookup import Dictionary, as_dictionary, lookup
+from termloom.operators.lookup import Dictionary, as_dictionary, lookup, spread_small
 
 
-def tokenize(texts: DataFrame, text: str = "text") -> DataFrame:
-    """One row per whitespace-delimited token, the other columns kept."""
+def _explode(texts: DataFrame, text: str, tokens: Column, name: str, spread: bool) -> DataFrame:
     others = [c for c in texts.columns if c != text]
-    return texts.select(*others, F.explode(split_tokens(F.col(text))).alias("token")).where("token <> ''")
+    if spread:
+        texts = spread_small(texts, texts, *(others or [text]))
+    return texts.select(*others, F.explode(tokens).alias(name)).where(F.col(name) != "")
+
+
+def tokenize(texts: DataFrame, text: str = "text", spread: bool = True) -> DataFrame:
+    """One row per whitespace-delimited token, the other columns kept."""
+    return _explode(texts, text, split_tokens(F.col(text)), "token", spread)
 
 
 def clean_tokens(
-    texts: DataFrame, text: str = "text", keep: str = TERM_CHARS, lowercase: bool = False
+    texts: DataFrame, text: str = "text", keep: str = TERM_CHARS, lowercase: bool = False, spread: bool = True
 ) -> DataFrame:
     """One row per non-empty cleaned token, in column ``term``."""
-    others = [c for c in texts.columns if c != text]
-    cleaned = clean_text(F.col(text), keep, lowercase)
-    return texts.select(*others, F.explode(split_tokens(cleaned)).alias("term")).where("term <> ''")
+    return _explode(texts, text, split_tokens(clean_text(F.col(text), keep, lowercase)), "term", spread)
 
 
 def remove_stopwords(tokens: DataFrame, stopwords: DataFrame) -> DataFrame:

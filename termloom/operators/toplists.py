@@ -61,7 +61,7 @@ def avg_tfidf_by_class(
     if not terms.fits():
         sums = materialize(sums, "sums")
     sums = decode_terms(sums, terms)
-    sizes = Dictionary(class_sizes(docs.df), docs.limit)
+    sizes = docs.summary(class_sizes(docs.df))  # a class name is the beginning of a document name
     return lookup(sums, sizes, "class").select(
         "class", "term", (F.col("sum_tfidf") / F.col("n_docs")).alias("avg_tfidf")
     )
