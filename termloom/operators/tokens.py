@@ -30,7 +30,7 @@ def clean_tokens(
 
 def remove_stopwords(tokens: DataFrame, stopwords: DataFrame) -> DataFrame:
     """Exact match, case kept; applied to cleaned tokens."""
-    return tokens.join(stopwords.select("term"), "term", "left_anti")
+    return lookup(tokens, stopwords, "term", "left_anti")
 
 
 def vocabulary(terms: Dictionary | DataFrame, stopwords: DataFrame | None) -> Dictionary:

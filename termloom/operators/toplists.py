@@ -22,12 +22,11 @@ def top_terms(totals: DataFrame, terms: Dictionary | DataFrame, k: int = TOP_TER
 
     Equal totals are ordered by term. ``rk`` is numbered after the limit, over ``k`` rows.
     """
-    best = (
-        decode_terms(totals.withColumnRenamed("total", "frequency"), terms)
-        .select("term", "frequency")
-        .orderBy(F.desc("frequency"), "term")
-        .limit(k)
-    )
+    terms = as_dictionary(terms)
+    words = terms.df.select("term_id", "term")
+    # One row per term on both sides, so nothing can be skewed.
+    named = totals.join(F.broadcast(words) if terms.fits() else words, "term_id")
+    best = named.select("term", F.col("total").alias("frequency")).orderBy(F.desc("frequency"), "term").limit(k)
     rank = F.row_number().over(Window.orderBy("frequency", F.desc("term")))
     return best.select(rank.alias("rk"), "term", "frequency").orderBy("rk")
 

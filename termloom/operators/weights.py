@@ -47,7 +47,8 @@ def weigh(kept: DataFrame) -> DataFrame:
 def idf(stats: DataFrame, n_docs: DataFrame, smooth: bool = True) -> DataFrame:
     """``stats`` with an ``idf`` column; ``n_docs`` is the one-row corpus size."""
     weight = inverse_document_frequency(F.col("n_docs"), F.col("df"), smooth)
-    return stats.crossJoin(F.broadcast(n_docs)).withColumn("idf", weight).drop("n_docs")
+    one_row = n_docs.agg(F.max("n_docs").alias("n_docs"))
+    return stats.crossJoin(F.broadcast(one_row)).withColumn("idf", weight).drop("n_docs")
 
 
 def tfidf(

@@ -23,14 +23,20 @@ def get_session(app_name: str = "termloom", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+_local_roots: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by the cluster; a temporary one only for a local session without it."""
-    root = spark.conf.get(CHECKPOINT_DIR, None)
+    context = spark.sparkContext
+    root = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError(f"{CHECKPOINT_DIR} must name a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="termloom-")
-        spark.conf.set(CHECKPOINT_DIR, root)
+        app = context.applicationId
+        if app not in _local_roots:
+            _local_roots[app] = tempfile.mkdtemp(prefix="termloom-")
+        root = _local_roots[app]
     return root.rstrip("/")
 
 

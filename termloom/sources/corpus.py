@@ -40,13 +40,10 @@ def corpus_from_table(table: DataFrame, key: str, text: str, label: str) -> Data
 
 
 def inventory(paths: DataFrame, path: str = "path") -> DataFrame:
-    """``(class, file_name, doc_name)`` of file paths, the skipped file left out; names keep extensions."""
+    """``(class, file_name, doc_name)`` of each file path but the skipped one; names keep extensions."""
     p = F.col(path)
-    return (
-        paths.select(folder_of(p).alias("class"), file_of(p).alias("file_name"), listed_name_of(p).alias("doc_name"))
-        .where(F.col("file_name") != SKIPPED_FILE)
-        .distinct()
-    )
+    listed = paths.select(folder_of(p).alias("class"), file_of(p).alias("file_name"), listed_name_of(p).alias("doc_name"))
+    return listed.where(F.col("file_name") != SKIPPED_FILE)
 
 
 def corpus_inventory(spark: SparkSession, root: str) -> DataFrame:
