@@ -19,7 +19,9 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _parse(lines: DataFrame, schema: dict[str, str], arity: Column) -> tuple[DataFrame, DataFrame]:
-    fields = lines.select("value", fields_of(F.col("value")).alias("fields"))
+    # Exploding a one-element array keeps the split in one place: the optimizer would move the conditions
+    # below a plain projection and repeat the split in each of them.
+    fields = lines.select("value", F.explode(F.array(fields_of(F.col("value")))).alias("fields"))
     typed = [
         (F.get("fields", i) if kind == "string" else F.get("fields", i).try_cast(kind)).alias(name)
         for i, (name, kind) in enumerate(schema.items())
