@@ -106,7 +106,8 @@ class TermStatistics:
         """``(term_id, total)``."""
         if self._stored is not None:
             return C.term_totals(self._stored)
-        if "_word_stats" in self.__dict__:
+        # With neither dictionary small the words have to be counted by document anyway.
+        if "_word_stats" in self.__dict__ or not (self.terms.fits() or self.docs.fits()):
             return self._word_stats.select("term_id", "total")
         return C.corpus_term_totals(*self._inputs, **self._options)
 
@@ -150,6 +151,8 @@ class TermStatistics:
 
     def write_per_document(self, path: str) -> None:
         """Counts as one folder per document."""
+        if not self.docs.fits():
+            self.store_counts()  # the lookup of names reads them twice
         write_per_document(decode_documents(self.counts, self.docs), path)
 
     def write_all(self, out: str, ordered: bool = False) -> None:

@@ -298,3 +298,12 @@ def test_foreign_matrix_is_summed_first(spark):
 def test_zero_length_gives_null_not_an_error(spark):
     m = frame(spark, [(1, 1, 0)], "term_id bigint, doc_id bigint, freq bigint")
     assert W.term_weight_tf(m).collect()[0]["tf"] is None
+
+
+def test_per_document_output_beyond_broadcast(spark, make_run, out):
+    from termloom.sinks.text import read_per_document
+
+    make_run(1 << 20, 0).write_per_document(out)
+    labels = {DOCS[i]: f"{c}.{i}" for i, _, c in ROWS if i in DOCS}
+    want = {(labels[d], t, n) for (t, d), n in brute_force()[0].items()}
+    assert {tuple(r) for r in read_per_document(spark, out).collect()} == want
