@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import quality_rules
+from termloom.llm import language_id, packing, quality_rules, simhash
 from termloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,3 +25,23 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.quality_verdicts(docs, keep_text=False)
     counts = [F.col(f"measured.{m}") for m in quality_rules.MEASURES]
     return judged.select("doc_id", *counts, "measured.base_failed", "measured.kept")
+
+
+@_query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = language_id.held_out(F.col("doc_id"))
+    model = language_id.fit(docs, ~held_out)
+    found = language_id.identify(docs.select("doc_id", "text", held_out.alias("held_out")), model)
+    return found.select("doc_id", "held_out", "language.lang_pred", "language.score")
+
+
+@_query
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.withColumn("fingerprint", simhash.hex_digits(F.col("fingerprint")))
+
+
+@_query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
