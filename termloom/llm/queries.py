@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import language_id, packing, quality_rules, simhash
+from termloom.llm import bpe_chunks, language_id, packing, quality_rules, simhash, token_store, warc
 from termloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +46,30 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@_query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    index = warc.write_warc(pages, warc.warc_folder(pages))
+    return warc.read_warc(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def _digests(ids, vocab) -> tuple:
+    text = ",".join(map(str, ids.tolist()))
+    decoded = vocab.decode(ids)
+    return len(ids), hashlib.sha256(text.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()
+
+
+@_query
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe_chunks.encode_documents(table(spark, sf_dir, "documents"), path, fields, _digests)
+
+
+@_query
+def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_store.read_documents(token_store.write_tokens(docs, path, token_store.token_folder(docs)))
