@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import bpe_chunks, language_id, packing, quality_rules, simhash, token_store, warc
+from termloom.llm import bpe_chunks, language_id, packing, quality_rules, simhash, token_store, topk_search, warc
 from termloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,8 @@ def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_store.read_documents(token_store.write_tokens(docs, path, token_store.token_folder(docs)))
+
+
+@_query
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
