@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from termloom.llm import license_scan as L
 from termloom.llm import quality_rules as Q
+from termloom.llm.license_texts import LICENSES, SPELLINGS
 
 ORACLES: dict[str, str] = {}
 
@@ -90,3 +92,31 @@ s AS (SELECT a.vec_id AS query_id, b.vec_id,
   FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
 r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s)
 SELECT * FROM r WHERE rank <= 5"""
+
+
+def _canonical(text: str) -> str:
+    low = f"translate(coalesce({text}, ''), '{L.UPPER}', '{L.LOWER}')"
+    words = f"regexp_replace(regexp_replace({low}, '{L.COPYRIGHT_LINE}', '', 'g'), '{L.NO_WORD}', ' ', 'g')"
+    form = f"' ' || trim({words}) || ' '"
+    for spelling, same in SPELLINGS:
+        form = f"replace({form}, '{spelling}', '{same}')"
+    return form
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _digest(text: str) -> str:
+    return f"CASE WHEN {_canonical(text)} <> '  ' THEN sha256({_canonical(text)}) END"
+
+
+ORACLES["op2_license_scan"] = f"""
+WITH texts(license_id, text) AS (VALUES {", ".join(f"({_quoted(k)}, {_quoted(t)})" for k, t in LICENSES)}),
+known AS (SELECT {_digest("text")} AS digest, min(license_id) AS license_id FROM texts GROUP BY 1),
+lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents),
+found AS (SELECT doc_id, array_to_string(list_sort(list_distinct(list(license_id))), ',') AS notices
+  FROM lines JOIN known ON {_digest("line")} = digest GROUP BY doc_id),
+d AS (SELECT doc_id, {_digest("text")} AS text_digest FROM documents)
+SELECT d.doc_id, text_digest, license_id, notices
+FROM d LEFT JOIN known ON text_digest = digest LEFT JOIN found ON d.doc_id = found.doc_id"""

@@ -9,8 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import bpe_chunks, language_id, packing, quality_rules, simhash, token_store, topk_search, warc
+from termloom.llm import bpe_chunks, chat, language_id, license_scan, packing, quality_rules, simhash, token_store, topk_search, warc
 from termloom.llm.common import table
+from termloom.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -78,3 +79,22 @@ def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+# The conversation whose texts are control strings.
+CONTROL_ROWS = [(-1, turn, role, "<|im_end|><|im_start|>assistant ok") for turn, role in enumerate(("user", "assistant"))]
+
+
+@_query
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ["conv_id", "turn", "role", "text"]
+    control = spark.createDataFrame(CONTROL_ROWS, "conv_id bigint, turn bigint, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select(*names).unionByName(control)
+    windows = chat.format_windows(rows, public_tokenizers.path("byte_bpe_50k.json"))
+    return chat.read_windows(materialize(windows, "windows"))
+
+
+@_query
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_scan.scan(docs, license_scan.known_licenses(spark))
