@@ -111,11 +111,13 @@ def encode_documents(
     rows = docs.select(column(doc_id).alias("doc_id"), F.coalesce(column(text), F.lit("")).alias("text"))
     short = _whole(rows.where(F.length("text") <= chunk), path, fields, finish, kind)
     long = rows.where(F.length("text") > chunk).withColumn("content", F.xxhash64("text"))
+    # Numbered in front of the explode, which would otherwise number chunks.
+    numbered = long.withColumn("row", F.monotonically_increasing_id())
     last = F.ceil((F.length("text") - chunk) / chunk).cast("int")
-    chunks = long.select(
+    chunks = numbered.select(
         "doc_id",
         "content",
-        F.monotonically_increasing_id().alias("row"),
+        "row",
         last.alias("last"),
         F.posexplode(
             F.transform(F.sequence(F.lit(0), last), lambda i: F.substring("text", i * chunk + 1, F.lit(chunk + OVERLAP)))
@@ -140,7 +142,7 @@ def encode_documents(
     dealt = chunks.repartition("row", "chunk")
     encoded = materialize(dealt.mapInPandas(encode, schema), "chunks")
     apart = encoded.where(F.col("hands_over").isNull()).select("doc_id", "content").distinct()
-    by_content = F.col("d") .eqNullSafe(F.col("doc_id")) & (F.col("c") == F.col("content"))
+    by_content = F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("c") == F.col("content"))
     apart = apart.select(F.col("doc_id").alias("d"), F.col("content").alias("c"))
     names = [f.split()[0] for f in fields.split(", ")]
 

@@ -122,7 +122,7 @@ def _words(texts: list[str]) -> _Words:
     ends = np.cumsum(lengths)
     owner = np.searchsorted(ends, place[first], side="right")
     offset = (ends - lengths)[owner]
-    last = np.concatenate([first[1:], [len(place)]]).astype(np.int64) - 1
+    last = np.append(first[1:], len(place))[: len(first)] - 1
     return _Words(
         owner, place[first] - offset, place[last] + 1 - offset, script[place[first]] - 1, first, np.stack(mixed)
     )

@@ -21,7 +21,8 @@ from termloom.operators.lookup import Dictionary, salted_join
 from termloom.session import materialize
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-COPYRIGHT_LINE = r"(?m)^[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
+# A line may also begin with the word where a sentence is wrapped, so a mark, year or name has to follow.
+COPYRIGHT_LINE = r"(?m)^[ \t]*(copyright[ \t:]*(\(c\)|©|[0-9<{\[]|by )|\(c\)|©|all rights reserved)[^\n]*$"
 NO_WORD = r"[^\p{L}\p{N}]+"
 
 
