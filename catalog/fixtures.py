@@ -15,6 +15,9 @@ from termloom.sources.dictionary import dense_ids, vocabulary_ids
 # The stop list. Lower case on purpose, so that "The" and "Und" survive.
 STOPWORDS = ("the", "and", "of", "to", "in", "a", "de", "la", "und", "die", "der", "el", "los", "les")
 
+# The test tables are single files, which one task would read alone.
+PARTITIONS = 16
+
 _dictionaries: dict[tuple, Dictionary] = {}
 
 
@@ -32,7 +35,7 @@ def stopwords(spark: SparkSession) -> DataFrame:
 
 
 def benchmark_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_tokens(table(spark, sf_dir, "benchmark").select("text"))
+    return clean_tokens(table(spark, sf_dir, "benchmark").select("text"), partitions=PARTITIONS)
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str, label: str = "lang") -> DataFrame:
@@ -65,7 +68,7 @@ def statistics(spark: SparkSession, sf_dir: str, label: str = "lang", **options)
         docs(spark, sf_dir, label),
         stopwords(spark),
         doc_key="src_id",
-        **options,
+        **{"partitions": PARTITIONS, "report_format": "%.6f", **options},
     )
 
 
@@ -90,8 +93,9 @@ def matrix_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def foreign_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(term_id, doc_id, freq)`` with repeated keys and ids no dictionary knows."""
+    """``(term_id, doc_id, freq, place)`` with repeated keys and ids no dictionary knows."""
     return table(spark, sf_dir, "lineitem").select(
+        F.monotonically_increasing_id().alias("place"),
         F.col("l_partkey").alias("term_id"),
         F.col("l_orderkey").alias("doc_id"),
         F.col("l_quantity").cast("bigint").alias("freq"),

@@ -154,6 +154,17 @@ FROM lineitem GROUP BY l_partkey, l_suppkey""",
     ),
     "idf_plain": _over("SELECT term_id, round(ln(CAST(n_docs AS DOUBLE) / df), 9) AS idf FROM dfs CROSS JOIN size"),
     "tfidf": _over("SELECT term_id, doc_id, round(tfidf, 9) AS tfidf FROM weights"),
+    "tfidf_foreign": """
+WITH m AS (
+  SELECT l_partkey AS term_id, l_orderkey AS doc_id, CAST(sum(l_linenumber - 1) AS BIGINT) AS freq FROM lineitem GROUP BY 1, 2
+), w AS (
+  SELECT term_id, doc_id, CAST(freq AS DOUBLE) / nullif(sum(freq) OVER (PARTITION BY doc_id), 0) AS tf,
+         count(*) OVER (PARTITION BY term_id) AS df
+  FROM m
+), size AS (SELECT count(DISTINCT l_orderkey) AS n_docs FROM lineitem)
+SELECT term_id, doc_id,
+       round(tf * (ln((n_docs + 1.0::DOUBLE) / (df + 1.0::DOUBLE)) + 1.0::DOUBLE), 9) AS tfidf
+FROM w CROSS JOIN size""",
     "top_terms": _over("""
 SELECT CAST(row_number() OVER (ORDER BY frequency, term DESC) AS INTEGER) AS rk, term, frequency FROM (
   SELECT term, total AS frequency FROM totals JOIN terms USING (term_id)

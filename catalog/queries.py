@@ -18,6 +18,8 @@ from termloom.sources import dictionary as dictionaries
 from termloom.sources import triples
 
 QUERIES = {}
+# Tells equal rows apart, should a dictionary be too large to broadcast.
+PLACE = "place"
 
 
 def query(fn):
@@ -117,31 +119,31 @@ def corpus_inventory(spark, sf_dir):
 
 @query
 def tokenize(spark, sf_dir):
-    return T.tokenize(X.corpus(spark, sf_dir).select("src_id", "text"))
+    return T.tokenize(X.corpus(spark, sf_dir).select("src_id", "text"), partitions=X.PARTITIONS)
 
 
-def _tokens(spark, sf_dir):
-    return T.clean_tokens(X.corpus(spark, sf_dir).select("src_id", "text"))
+def _tokens(spark, sf_dir, place=PLACE):
+    return T.clean_tokens(X.corpus(spark, sf_dir).select("src_id", "text"), partitions=X.PARTITIONS, place=place)
 
 
 @query
 def clean_tokens(spark, sf_dir):
-    return _tokens(spark, sf_dir)
+    return _tokens(spark, sf_dir, place=None)
 
 
 @query
 def stopword_filter(spark, sf_dir):
-    return T.remove_stopwords(_tokens(spark, sf_dir), X.stopwords(spark)).select("src_id", "term")
+    return T.remove_stopwords(_tokens(spark, sf_dir), X.stopwords(spark), PLACE).select("src_id", "term")
 
 
 @query
 def vocab_filter(spark, sf_dir):
-    return T.known_terms(_tokens(spark, sf_dir), X.terms(spark, sf_dir)).select("src_id", "term")
+    return T.known_terms(_tokens(spark, sf_dir), X.terms(spark, sf_dir), PLACE).select("src_id", "term")
 
 
 @query
 def oov_tokens(spark, sf_dir):
-    return T.out_of_vocabulary(_tokens(spark, sf_dir), X.terms(spark, sf_dir)).select("src_id", "term")
+    return T.out_of_vocabulary(_tokens(spark, sf_dir), X.terms(spark, sf_dir), PLACE).select("src_id", "term")
 
 
 @query
@@ -160,7 +162,7 @@ def doc_class(spark, sf_dir):
 
 @query
 def encode_terms(spark, sf_dir):
-    return T.encode_terms(_tokens(spark, sf_dir), X.terms(spark, sf_dir)).select("src_id", "term_id")
+    return T.encode_terms(_tokens(spark, sf_dir), X.terms(spark, sf_dir), PLACE).select("src_id", "term_id")
 
 
 @query
@@ -184,13 +186,13 @@ def decode_docs(spark, sf_dir):
 @query
 def unknown_terms(spark, sf_dir):
     rows = X.foreign_matrix(spark, sf_dir)
-    return T.unknown_terms(rows, X.terms(spark, sf_dir)).select("term_id", "doc_id", "freq")
+    return T.unknown_terms(rows, X.terms(spark, sf_dir), PLACE).select("term_id", "doc_id", "freq")
 
 
 @query
 def unknown_docs(spark, sf_dir):
     rows = X.foreign_matrix(spark, sf_dir)
-    return T.unknown_documents(rows, X.docs(spark, sf_dir)).select("term_id", "doc_id", "freq")
+    return T.unknown_documents(rows, X.docs(spark, sf_dir), PLACE).select("term_id", "doc_id", "freq")
 
 
 # Counts
@@ -251,7 +253,7 @@ def doc_lengths(spark, sf_dir):
 
 @query
 def term_weight_tf(spark, sf_dir):
-    return rounded(W.term_weight_tf(X.statistics(spark, sf_dir).kept), "tf")
+    return rounded(X.statistics(spark, sf_dir).frequencies, "tf")
 
 
 @query
@@ -280,6 +282,18 @@ def tfidf(spark, sf_dir):
     return rounded(X.statistics(spark, sf_dir).tfidf, "tfidf")
 
 
+@query
+def tfidf_foreign(spark, sf_dir):
+    """No threshold: terms that occur nowhere have weights, too, and a document of length zero has none."""
+    matrix = X.table(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").alias("term_id"),
+        F.col("l_orderkey").alias("doc_id"),
+        (F.col("l_linenumber") - 1).cast("bigint").alias("freq"),
+    )
+    n_docs = W.corpus_size(matrix, "doc_id")
+    return rounded(W.tfidf(C.dedupe_triples(matrix), n_docs, min_total=None), "tfidf")
+
+
 # Top lists
 
 
@@ -326,14 +340,14 @@ def class_report(spark, sf_dir):
 def mtx_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "mtx")
     sinks.write_matrix(X.statistics(spark, sf_dir).kept, path)
-    return triples.read_counts(spark, path)
+    return triples.read_counts(spark, path)[0]
 
 
 @query
 def mtx_sorted(spark, sf_dir):
     path = scratch_path(spark, "sorted")
     sinks.write_matrix(X.statistics(spark, sf_dir).counts, path, ordered=True)
-    lines = dictionaries.load_ids(spark, path, "value", "line")
+    lines = dictionaries.numbered_lines(spark, path)
     fields = F.split("value", "\t")
     return lines.select("line", *[fields[i].cast("bigint").alias(n) for i, n in enumerate(triples.COUNTS)])
 
@@ -342,7 +356,7 @@ def mtx_sorted(spark, sf_dir):
 def tfidf_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "tfidf")
     sinks.write_matrix(X.statistics(spark, sf_dir).tfidf, path)
-    return rounded(triples.read_weights(spark, path), "tfidf")
+    return rounded(triples.read_weights(spark, path)[0], "tfidf")
 
 
 @query

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions.text import TERM_CHARS
-from termloom.operators.lookup import Dictionary, as_dictionary, salted_join, spread_small
-from termloom.operators.tokens import clean_tokens, vocabulary
+from termloom.operators.lookup import Dictionary, as_dictionary, salted_join, spread
+from termloom.operators.tokens import clean_tokens, remove_stopwords, vocabulary
 from termloom.session import materialize
 
 MIN_TOTAL = 3
@@ -25,7 +25,9 @@ def _entries(dictionary: Dictionary, *columns: str) -> DataFrame:
     return entries
 
 
-def _dictionary_texts(corpus: DataFrame, docs: Dictionary, doc_key: str, text: str) -> tuple[DataFrame, str]:
+def _dictionary_texts(
+    corpus: DataFrame, docs: Dictionary, doc_key: str, text: str, partitions: int
+) -> tuple[DataFrame, str]:
     """Text rows with their document column, narrowed to dictionary documents where that is cheap.
 
     With a broadcast dictionary the rows are narrowed, and get their ``doc_id``, before any text is
@@ -35,32 +37,44 @@ def _dictionary_texts(corpus: DataFrame, docs: Dictionary, doc_key: str, text: s
     if docs.fits():
         texts = texts.join(F.broadcast(_entries(docs, doc_key, "doc_id")), doc_key).select("doc_id", text)
         doc = "doc_id"
-    return spread_small(texts, corpus, doc), doc
+    return spread(texts, partitions, doc, text), doc
 
 
-def _with_doc_ids(counts: DataFrame, docs: Dictionary, doc: str) -> DataFrame:
+def _with_doc_ids(counts: DataFrame, docs: Dictionary, doc: str, salted: bool = False) -> DataFrame:
     """``doc_id`` in place of the document key, unless the texts have it already.
 
-    At most one row per document and term is left here, so no document is a hot key any more.
+    One row per document and term is left here. Terms of a dictionary that fits bound the rows of a document;
+    of words from any text a document may have more, so they are written down and its rows cut (``salted``).
     """
-    return counts if doc == "doc_id" else counts.join(_entries(docs, doc, "doc_id"), doc).drop(doc)
+    if doc == "doc_id":
+        return counts
+    if salted:
+        return salted_join(materialize(counts, "words"), _entries(docs, doc, "doc_id"), doc).drop(doc)
+    return counts.join(_entries(docs, doc, "doc_id"), doc).drop(doc)
 
 
 def word_doc_counts(
     corpus: DataFrame,
     docs: Dictionary | DataFrame,
+    stopwords: DataFrame | None = None,
     *,
     doc_key: str = "doc_name",
     text: str = "text",
     keep: str = TERM_CHARS,
     lowercase: bool = False,
+    partitions: int = 0,
 ) -> DataFrame:
-    """``(term, doc_id, freq)`` of every word, before any term dictionary."""
+    """``(term, doc_id, freq)`` of every word that is no stop word, before any term dictionary.
+
+    Stop words are the most frequent words of all, so they leave before anything is counted.
+    """
     docs = as_dictionary(docs)
-    texts, doc = _dictionary_texts(corpus, docs, doc_key, text)
-    tokens = clean_tokens(texts, text, keep, lowercase, spread=False)
+    texts, doc = _dictionary_texts(corpus, docs, doc_key, text, partitions)
+    tokens = clean_tokens(texts, text, keep, lowercase)
+    if stopwords is not None and (stops := as_dictionary(stopwords)).fits():
+        tokens = remove_stopwords(tokens, stops)
     counts = tokens.groupBy("term", doc).agg(F.count(F.lit(1)).alias("freq"))
-    return _with_doc_ids(counts, docs, doc).select("term", "doc_id", "freq")
+    return _with_doc_ids(counts, docs, doc, salted=True).select("term", "doc_id", "freq")
 
 
 def term_doc_counts(
@@ -73,6 +87,7 @@ def term_doc_counts(
     text: str = "text",
     keep: str = TERM_CHARS,
     lowercase: bool = False,
+    partitions: int = 0,
 ) -> DataFrame:
     """``(term_id, doc_id, freq)``: how often each dictionary term stands in each dictionary document.
 
@@ -83,11 +98,11 @@ def term_doc_counts(
     docs = as_dictionary(docs)
     vocab = vocabulary(terms, stopwords)
     if not vocab.fits():
-        options = dict(doc_key=doc_key, text=text, keep=keep, lowercase=lowercase)
-        pairs = materialize(word_doc_counts(corpus, docs, **options), "pairs")
+        options = dict(doc_key=doc_key, text=text, keep=keep, lowercase=lowercase, partitions=partitions)
+        pairs = materialize(word_doc_counts(corpus, docs, stopwords, **options), "pairs")
         return salted_join(pairs, _entries(vocab, "term", "term_id"), "term").select("term_id", "doc_id", "freq")
-    texts, doc = _dictionary_texts(corpus, docs, doc_key, text)
-    tokens = clean_tokens(texts, text, keep, lowercase, spread=False)
+    texts, doc = _dictionary_texts(corpus, docs, doc_key, text, partitions)
+    tokens = clean_tokens(texts, text, keep, lowercase)
     known = tokens.join(F.broadcast(_entries(vocab, "term", "term_id")), "term")
     counts = known.groupBy("term_id", doc).agg(F.count(F.lit(1)).alias("freq"))
     return _with_doc_ids(counts, docs, doc).select("term_id", "doc_id", "freq")
@@ -103,6 +118,7 @@ def corpus_term_totals(
     text: str = "text",
     keep: str = TERM_CHARS,
     lowercase: bool = False,
+    partitions: int = 0,
 ) -> DataFrame:
     """``(term_id, total)`` straight from the tokens.
 
@@ -112,11 +128,11 @@ def corpus_term_totals(
     """
     docs = as_dictionary(docs)
     vocab = vocabulary(terms, stopwords)
-    options = dict(doc_key=doc_key, text=text, keep=keep, lowercase=lowercase)
+    options = dict(doc_key=doc_key, text=text, keep=keep, lowercase=lowercase, partitions=partitions)
     if not docs.fits():
         return term_totals(term_doc_counts(corpus, terms, docs, stopwords, **options))
-    texts, _ = _dictionary_texts(corpus, docs, doc_key, text)
-    tokens = clean_tokens(texts.select(text), text, keep, lowercase, spread=False)
+    texts, _ = _dictionary_texts(corpus, docs, doc_key, text, partitions)
+    tokens = clean_tokens(texts.select(text), text, keep, lowercase)
     total = F.count(F.lit(1)).alias("total")
     if vocab.fits():
         return tokens.join(F.broadcast(_entries(vocab, "term", "term_id")), "term").groupBy("term_id").agg(total)
@@ -138,8 +154,9 @@ def term_stats(matrix: DataFrame, by: str = "term_id") -> DataFrame:
     return matrix.groupBy(by).agg(F.sum("freq").alias("total"), F.count(F.lit(1)).alias("df"))
 
 
-def frequent_terms(totals: DataFrame, min_total: int = MIN_TOTAL) -> DataFrame:
-    return totals.where(F.col("total") >= min_total)
+def frequent_terms(totals: DataFrame, min_total: int | None = MIN_TOTAL) -> DataFrame:
+    """Rows whose total is at least ``min_total``; all of them without one."""
+    return totals if min_total is None else totals.where(F.col("total") >= min_total)
 
 
 def rare_terms(totals: DataFrame, min_total: int = MIN_TOTAL) -> DataFrame:
@@ -152,7 +169,7 @@ def _may_broadcast_stats(terms: Dictionary | None) -> bool:
 
 
 def reusable(matrix: DataFrame, terms: Dictionary | None) -> DataFrame:
-    """The matrix itself where one plan can use it twice, else a stored copy.
+    """The matrix itself where one plan can use it several times, else a stored copy.
 
     With broadcast statistics the aggregate and the join share the exchange that counted the matrix.
     """
@@ -174,7 +191,7 @@ def join_term_stats(
 
 
 def low_frequency_filter(
-    matrix: DataFrame, min_total: int = MIN_TOTAL, terms: Dictionary | None = None
+    matrix: DataFrame, min_total: int | None = MIN_TOTAL, terms: Dictionary | None = None
 ) -> DataFrame:
     """Matrix rows of terms that occur at least ``min_total`` times in the corpus."""
     matrix = reusable(matrix, terms)

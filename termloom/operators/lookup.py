@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,10 +28,7 @@ class Dictionary:
         """(rows, bytes), from a one-row aggregate."""
         width = F.lit(ROW_OVERHEAD)
         for field in self.df.schema.fields:
-            if isinstance(field.dataType, T.StringType):
-                width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
-            else:
-                width = width + F.lit(8)
+            width = width + _width(field)
         row = self.df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
         return row["n"], row["b"] or 0
 
@@ -64,16 +61,41 @@ class Dictionary:
         return smaller
 
 
+def _width(field: T.StructField) -> Column:
+    """Bytes of a column in a row, or more."""
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(field.name), F.lit(0))
+    if isinstance(field.dataType, T.AtomicType):
+        return F.lit(8)
+    # An element takes two characters of JSON at least, and 16 bytes with its length and its place at most.
+    return 8 + 8 * F.coalesce(F.octet_length(F.to_json(F.struct(field.name))), F.lit(0))
+
+
 def as_dictionary(source: Dictionary | DataFrame) -> Dictionary:
     return source if isinstance(source, Dictionary) else Dictionary(source)
 
 
+def hot_keys(rows_per_key: DataFrame, key: str) -> DataFrame:
+    """``(key, salts)``, stored: the keys that hold more than 1/P of all rows, with as many slices as their share
+    asks for (P = shuffle partitions). Fewer than P keys can."""
+    slices = int(rows_per_key.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = rows_per_key.agg(F.sum("n").alias("all_rows"))
+    return materialize(
+        rows_per_key.crossJoin(F.broadcast(total))
+        .where(F.col("n") * slices > F.col("all_rows"))
+        .select(key, F.ceil(F.col("n") * slices / F.col("all_rows")).cast("int").alias("salts")),
+        "hot",
+    )
+
+
 def salted_join(
     big: DataFrame,
     small: DataFrame,
     key: str,
     how: str = "inner",
     rows_per_key: DataFrame | None = None,
+    hot: DataFrame | None = None,
+    slice_by: str | None = None,
 ) -> DataFrame:
     """Join on ``key`` where single keys may hold a large share of ``big``.
 
@@ -82,22 +104,20 @@ def salted_join(
     to each slice. Fewer than P keys can hold more than 1/P each, so the list of hot keys that is broadcast
     has fewer than P rows and ``small`` grows by fewer than 2P rows, whatever the data.
 
+    ``slice_by`` names a column whose values differ between rows that are otherwise equal, such as the place of
+    a token (see :func:`termloom.operators.tokens.tokenize`); without it equal rows stay together. It has to
+    have the same value when a lost task runs again.
+
     The hot keys are found in a job of their own, with one partial count per key and task, so ``big`` is
     evaluated twice; write it down first where that is costly. ``rows_per_key`` is ``(key, n)`` when those
-    counts are known already.
+    counts are known already, ``hot`` the list itself, see :func:`hot_keys`.
     """
-    slices = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if rows_per_key is None:
-        rows_per_key = big.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = rows_per_key.agg(F.sum("n").alias("all_rows"))
-    hot = materialize(
-        rows_per_key.crossJoin(F.broadcast(total))
-        .where(F.col("n") * slices > F.col("all_rows"))
-        .select(key, F.ceil(F.col("n") * slices / F.col("all_rows")).cast("int").alias("salts")),
-        "hot",
-    )
+    if hot is None:
+        if rows_per_key is None:
+            rows_per_key = big.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+        hot = hot_keys(rows_per_key, key)
     salts = F.coalesce("salts", F.lit(1))
-    slice_of_row = F.pmod(F.xxhash64(*big.columns), salts).cast("int")
+    slice_of_row = F.pmod(F.xxhash64(*([slice_by] if slice_by else big.columns)), salts).cast("int")
     cut = big.join(F.broadcast(hot), key, "left").withColumn("salt", slice_of_row).drop("salts")
     copied = (
         small.join(F.broadcast(hot), key, "left")
@@ -107,26 +127,23 @@ def salted_join(
     return cut.join(copied, [key, "salt"], how).drop("salt")
 
 
-def lookup(big: DataFrame, dictionary: Dictionary | DataFrame, key: str, how: str = "inner") -> DataFrame:
+def lookup(
+    big: DataFrame, dictionary: Dictionary | DataFrame, key: str, how: str = "inner", slice_by: str | None = None
+) -> DataFrame:
     """Join with a dictionary: ``inner`` adds its columns, ``left_semi`` / ``left_anti`` only test the key."""
     dictionary = as_dictionary(dictionary)
     side = dictionary.df if how == "inner" else dictionary.df.select(key)
     if dictionary.fits():
         return big.join(F.broadcast(side), key, how)
-    return salted_join(big, side, key, how)
+    return salted_join(big, side, key, how, slice_by=slice_by)
 
 
-def spread_small(rows: DataFrame, scan: DataFrame, *by: str, limit: int = 1 << 30) -> DataFrame:
-    """``rows`` over all cores where the table scan they come from is small and has fewer files than that.
+def spread(rows: DataFrame, partitions: int, *by: str) -> DataFrame:
+    """``rows`` dealt to so many partitions by the columns ``by``; 0 leaves them where they are.
 
-    Such an input may hold a single row group and would keep all but one core idle, so it is worth a
-    shuffle of its text. Inputs above ``limit`` bytes have splits enough and are never shuffled as raw text.
+    For inputs whose files are fewer than the cores, when the caller knows it: text that is shuffled before it
+    is taken apart costs its whole size on the network.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    if int(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) > limit:
-        return rows
-    if not 0 < len(scan.inputFiles()) < cores:
-        return rows
     # By a hash of the columns, not the columns themselves: counting by document then keeps an exchange
     # of partial counts of its own, which plans that use the counts twice can share.
-    return rows.repartition(2 * cores, F.xxhash64(*by))
+    return rows.repartition(partitions, F.xxhash64(*by)) if partitions else rows

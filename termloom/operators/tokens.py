@@ -6,31 +6,46 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions.text import TERM_CHARS, clean_text, split_tokens
-from termloom.operators.lookup import Dictionary, as_dictionary, lookup, spread_small
+from termloom.operators.lookup import Dictionary, as_dictionary, lookup, spread
 
 
-def _explode(texts: DataFrame, text: str, tokens: Column, name: str, spread: bool) -> DataFrame:
+def _explode(texts: DataFrame, text: str, tokens: Column, name: str, partitions: int, place: str | None) -> DataFrame:
     others = [c for c in texts.columns if c != text]
-    if spread:
-        texts = spread_small(texts, texts, *(others or [text]))
-    return texts.select(*others, F.explode(tokens).alias(name)).where(F.col(name) != "")
-
-
-def tokenize(texts: DataFrame, text: str = "text", spread: bool = True) -> DataFrame:
-    """One row per whitespace-delimited token, the other columns kept."""
-    return _explode(texts, text, split_tokens(F.col(text)), "token", spread)
+    if place is None:
+        rows = spread(texts, partitions, *texts.columns)
+        return rows.select(*others, F.explode(tokens).alias(name)).where(F.col(name) != "")
+    # Rows are numbered where they are scanned, which gives the same numbers when a task runs again.
+    numbered = texts.withColumn(place, F.monotonically_increasing_id())
+    rows = spread(numbered, partitions, *numbered.columns)
+    found = rows.select(*others, place, F.posexplode(tokens).alias("nth", name)).where(F.col(name) != "")
+    return found.select(*others, F.xxhash64(place, "nth").alias(place), name)
+
+
+def tokenize(texts: DataFrame, text: str = "text", partitions: int = 0, place: str | None = None) -> DataFrame:
+    """One row per whitespace-delimited token, the other columns kept.
+
+    ``partitions`` deals the texts to so many tasks first, for inputs of few files; by all columns, so the lines
+    of one document go to many. ``place`` names a column more that tells equal tokens apart, for ``slice_by``
+    of lookups beyond the broadcast limit; ``texts`` has to be a scan then.
+    """
+    return _explode(texts, text, split_tokens(F.col(text)), "token", partitions, place)
 
 
 def clean_tokens(
-    texts: DataFrame, text: str = "text", keep: str = TERM_CHARS, lowercase: bool = False, spread: bool = True
+    texts: DataFrame,
+    text: str = "text",
+    keep: str = TERM_CHARS,
+    lowercase: bool = False,
+    partitions: int = 0,
+    place: str | None = None,
 ) -> DataFrame:
-    """One row per non-empty cleaned token, in column ``term``."""
-    return _explode(texts, text, split_tokens(clean_text(F.col(text), keep, lowercase)), "term", spread)
+    """One row per non-empty cleaned token, in column ``term``; options as for :func:`tokenize`."""
+    return _explode(texts, text, split_tokens(clean_text(F.col(text), keep, lowercase)), "term", partitions, place)
 
 
-def remove_stopwords(tokens: DataFrame, stopwords: DataFrame) -> DataFrame:
+def remove_stopwords(tokens: DataFrame, stopwords: DataFrame, slice_by: str | None = None) -> DataFrame:
     """Exact match, case kept; applied to cleaned tokens."""
-    return lookup(tokens, stopwords, "term", "left_anti")
+    return lookup(tokens, stopwords, "term", "left_anti", slice_by)
 
 
 def vocabulary(terms: Dictionary | DataFrame, stopwords: DataFrame | None) -> Dictionary:
@@ -43,14 +58,14 @@ def vocabulary(terms: Dictionary | DataFrame, stopwords: DataFrame | None) -> Di
     return terms if stopwords is None else terms.without(stopwords, "term")
 
 
-def known_terms(tokens: DataFrame, terms: Dictionary | DataFrame) -> DataFrame:
+def known_terms(tokens: DataFrame, terms: Dictionary | DataFrame, slice_by: str | None = None) -> DataFrame:
     """Tokens found in the term dictionary."""
-    return lookup(tokens, terms, "term", "left_semi")
+    return lookup(tokens, terms, "term", "left_semi", slice_by)
 
 
-def out_of_vocabulary(tokens: DataFrame, terms: Dictionary | DataFrame) -> DataFrame:
+def out_of_vocabulary(tokens: DataFrame, terms: Dictionary | DataFrame, slice_by: str | None = None) -> DataFrame:
     """Tokens missing from the term dictionary."""
-    return lookup(tokens, terms, "term", "left_anti")
+    return lookup(tokens, terms, "term", "left_anti", slice_by)
 
 
 def known_documents(corpus: DataFrame, docs: Dictionary | DataFrame, doc_key: str = "doc_name") -> DataFrame:
@@ -58,9 +73,9 @@ def known_documents(corpus: DataFrame, docs: Dictionary | DataFrame, doc_key: st
     return lookup(corpus, docs, doc_key, "left_semi")
 
 
-def encode_terms(tokens: DataFrame, terms: Dictionary | DataFrame) -> DataFrame:
+def encode_terms(tokens: DataFrame, terms: Dictionary | DataFrame, slice_by: str | None = None) -> DataFrame:
     """``term_id`` added by term; unknown terms dropped."""
-    return lookup(tokens, as_dictionary(terms).select("term", "term_id"), "term")
+    return lookup(tokens, as_dictionary(terms).select("term", "term_id"), "term", slice_by=slice_by)
 
 
 def encode_documents(
@@ -80,9 +95,9 @@ def decode_documents(rows: DataFrame, docs: Dictionary | DataFrame) -> DataFrame
     return lookup(rows, as_dictionary(docs).select("doc_id", "doc_name"), "doc_id")
 
 
-def unknown_terms(rows: DataFrame, terms: Dictionary | DataFrame) -> DataFrame:
-    return lookup(rows, terms, "term_id", "left_anti")
+def unknown_terms(rows: DataFrame, terms: Dictionary | DataFrame, slice_by: str | None = None) -> DataFrame:
+    return lookup(rows, terms, "term_id", "left_anti", slice_by)
 
 
-def unknown_documents(rows: DataFrame, docs: Dictionary | DataFrame) -> DataFrame:
-    return lookup(rows, docs, "doc_id", "left_anti")
+def unknown_documents(rows: DataFrame, docs: Dictionary | DataFrame, slice_by: str | None = None) -> DataFrame:
+    return lookup(rows, docs, "doc_id", "left_anti", slice_by)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.functions.text import class_of
@@ -12,9 +12,9 @@ from termloom.session import materialize
 
 TOP_TERMS = 10
 TOP_PER_CLASS = 5
-# Averages closer than this many decimals are a tie: the order in which Spark adds doubles is not fixed,
-# so their last bits cannot decide a rank.
-TIE_DECIMALS = 12
+# Averages that agree in so many significant digits are a tie: the order in which Spark adds doubles is not
+# fixed, so their last bits cannot decide a rank.
+TIE_DIGITS = 12
 
 
 def top_terms(totals: DataFrame, terms: Dictionary | DataFrame, k: int = TOP_TERMS) -> DataFrame:
@@ -72,7 +72,8 @@ def top_terms_by_class(averages: DataFrame, k: int = TOP_PER_CLASS) -> DataFrame
     The rank limit is applied inside each task before the shuffle, so a class of any size sends at most
     ``k`` rows per task to its window.
     """
-    order = Window.partitionBy("class").orderBy(F.desc(F.round("avg_tfidf", TIE_DECIMALS)), "term")
+    significant = F.format_string(f"%.{TIE_DIGITS - 1}e", "avg_tfidf").cast("double")
+    order = Window.partitionBy("class").orderBy(F.desc(significant), "term")
     return (
         averages.withColumn("rk", F.row_number().over(order))
         .where(F.col("rk") <= k)
@@ -80,9 +81,16 @@ def top_terms_by_class(averages: DataFrame, k: int = TOP_PER_CLASS) -> DataFrame
     )
 
 
-def class_report(top: DataFrame, number_format: str = "%.6f") -> DataFrame:
-    """``(class, top_terms)``: one line ``term:value, term:value, …`` per class, best first."""
+def class_report(top: DataFrame, number_format: str | None = None) -> DataFrame:
+    """``(class, top_terms)``: one line ``term:value, term:value, …`` per class, best first.
+
+    Values are whole doubles unless a ``number_format`` such as ``%.6f`` is given.
+    """
+
+    def value(number: Column) -> Column:
+        return number.cast("string") if number_format is None else F.format_string(number_format, number)
+
     entry = F.struct("rk", "term", "avg_tfidf")
     listed = top.groupBy("class").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
-    shown = F.transform("entries", lambda e: F.concat(e.term, F.lit(":"), F.format_string(number_format, e.avg_tfidf)))
+    shown = F.transform("entries", lambda e: F.concat(e.term, F.lit(":"), value(e.avg_tfidf)))
     return listed.select("class", F.array_join(shown, ", ").alias("top_terms"))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions.scores import inverse_document_frequency, term_frequency
 from termloom.operators.counts import MIN_TOTAL, frequent_terms, join_term_stats, reusable, term_stats
-from termloom.operators.lookup import Dictionary
+from termloom.operators.lookup import Dictionary, salted_join
+from termloom.session import materialize
 
 
 def corpus_size(corpus: DataFrame, doc_key: str = "src_id") -> DataFrame:
@@ -25,23 +26,34 @@ def document_frequency(kept: DataFrame) -> DataFrame:
     return kept.groupBy("term_id").agg(F.count(F.lit(1)).alias("df"))
 
 
-def term_weight_tf(kept: DataFrame) -> DataFrame:
+def term_weight_tf(kept: DataFrame, docs: Dictionary | None = None, terms: Dictionary | None = None) -> DataFrame:
     """``(term_id, doc_id, tf)``: share of the document's kept tokens.
 
-    The window is over one document, which has at most one row per dictionary term; it costs one shuffle
-    where an aggregate and a join back would cost two.
+    ``docs`` is the dictionary the matrix was built with; with it and ``terms`` small enough the matrix is not
+    shuffled for this, else it is written down.
     """
-    return _with_tf(kept).select("term_id", "doc_id", "tf")
+    return _with_tf(kept, docs, terms).select("term_id", "doc_id", "tf")
 
 
-def _with_tf(kept: DataFrame) -> DataFrame:
-    length = F.sum("freq").over(Window.partitionBy("doc_id"))
-    return kept.withColumn("tf", term_frequency(F.col("freq"), length))
+def _with_tf(kept: DataFrame, docs: Dictionary | None, terms: Dictionary | None) -> DataFrame:
+    """Rows with ``tf``. Lengths are one number per document: an aggregate over the counts' own exchange,
+    broadcast where the dictionary bounds them, else joined with long documents cut into slices."""
+    if docs is not None and docs.fits_per_row(2 * 8):
+        kept = kept if docs.fits() and (terms is None or terms.fits_per_row(4 * 8)) else materialize(kept, "kept")
+        rows = kept.join(F.broadcast(doc_lengths(kept)), "doc_id")
+    else:
+        kept = materialize(kept, "kept")
+        count = F.count(F.lit(1)).alias("n")
+        lengths = materialize(kept.groupBy("doc_id").agg(F.sum("freq").alias("n_tokens"), count), "lengths")
+        rows_per_key = lengths.select("doc_id", "n")
+        rows = salted_join(kept, lengths.drop("n"), "doc_id", rows_per_key=rows_per_key)
+    return rows.withColumn("tf", term_frequency(F.col("freq"), F.col("n_tokens")))
 
 
-def weigh(kept: DataFrame) -> DataFrame:
+def weigh(kept: DataFrame, docs: Dictionary | None = None, terms: Dictionary | None = None) -> DataFrame:
     """``(term_id, doc_id, tfidf)`` of kept matrix rows that carry the ``idf`` of their term."""
-    return _with_tf(kept).select("term_id", "doc_id", (F.col("tf") * F.col("idf")).alias("tfidf"))
+    weighted = _with_tf(kept, docs, terms)
+    return weighted.select("term_id", "doc_id", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
 def idf(stats: DataFrame, n_docs: DataFrame, smooth: bool = True) -> DataFrame:
@@ -54,15 +66,16 @@ def idf(stats: DataFrame, n_docs: DataFrame, smooth: bool = True) -> DataFrame:
 def tfidf(
     matrix: DataFrame,
     n_docs: DataFrame,
-    min_total: int = MIN_TOTAL,
+    min_total: int | None = MIN_TOTAL,
     terms: Dictionary | None = None,
     smooth: bool = True,
+    docs: Dictionary | None = None,
 ) -> DataFrame:
-    """``(term_id, doc_id, tfidf)`` of the terms with a corpus total of at least ``min_total``.
+    """``(term_id, doc_id, tfidf)`` of the terms with a corpus total of at least ``min_total``, or of all.
 
     Filter and idf come from one aggregate per term and reach the matrix in one join; the weight is
     computed once per term. A matrix filtered before may be passed with the same or a lower threshold.
     """
     matrix = reusable(matrix, terms)
     stats = idf(frequent_terms(term_stats(matrix), min_total), n_docs, smooth).select("term_id", "df", "idf")
-    return weigh(join_term_stats(matrix, stats, terms))
+    return weigh(join_term_stats(matrix, stats, terms), docs, terms)

@@ -40,10 +40,42 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+class Scratch:
+    """Paths handed out while this is open, to be deleted together.
+
+        with Scratch() as scratch:
+            ...
+        scratch.close()
+
+    Leaving the block keeps the files, as lazy results still read them; ``close`` deletes them.
+    """
+
+    _open: list[Scratch] = []
+
+    def __init__(self):
+        self.paths: list[tuple[SparkSession, str]] = []
+
+    def __enter__(self) -> Scratch:
+        Scratch._open.append(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        Scratch._open.remove(self)
+
+    def close(self) -> None:
+        for spark, path in self.paths:
+            jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jvm_path, True)
+        self.paths.clear()
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below the scratch folder that nothing has used before."""
     app = spark.sparkContext.applicationId
-    return f"{scratch_root(spark)}/{app}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{app}/{label}-{uuid.uuid4().hex}"
+    if Scratch._open:
+        Scratch._open[-1].paths.append((spark, path))
+    return path
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from termloom.functions.text import doc_name_of, file_of, folder_of, listed_name_of, path_text
 
-# Fixed value: the one file beside the class folders that is not part of a corpus.
-SKIPPED_FILE = "README.TXT"
-
 
 def _files(root: str) -> str:
     return root.rstrip("/") + "/*/*"
@@ -40,16 +37,21 @@ def corpus_from_table(table: DataFrame, key: str, text: str, label: str) -> Data
 
 
 def inventory(paths: DataFrame, path: str = "path") -> DataFrame:
-    """``(class, file_name, doc_name)`` of each file path but the skipped one; names keep extensions."""
+    """``(class, file_name, doc_name)`` of every file path of a class folder; names keep extensions."""
     p = F.col(path)
-    listed = paths.select(folder_of(p).alias("class"), file_of(p).alias("file_name"), listed_name_of(p).alias("doc_name"))
-    return listed.where(F.col("file_name") != SKIPPED_FILE)
+    return paths.select(folder_of(p).alias("class"), file_of(p).alias("file_name"), listed_name_of(p).alias("doc_name"))
 
 
 def corpus_inventory(spark: SparkSession, root: str) -> DataFrame:
-    """:func:`inventory` of a corpus folder. Like every Spark file scan it shows no empty file."""
-    # This source gives plain paths, unlike the escaped ones of ``_metadata``, and reads no contents here.
-    return inventory(spark.read.format("binaryFile").load(_files(root)).select("path"))
+    """:func:`inventory` of a corpus folder, files of zero length included.
+
+    A file scan shows no empty file, so the paths are those of the file index that it keeps; they go from there
+    into a table without passing through Python.
+    """
+    jvm = spark.sparkContext._jvm
+    files = jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(spark.read.text(_files(root))._jdf.inputFiles())
+    paths = spark._jsparkSession.createDataset(files, jvm.org.apache.spark.sql.Encoders.STRING()).toDF()
+    return inventory(DataFrame(paths, spark).select(path_text(F.col("value")).alias("path")))
 
 
 def count_corpus_files(spark: SparkSession, root: str) -> DataFrame:

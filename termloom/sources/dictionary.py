@@ -4,32 +4,54 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from termloom.operators.lookup import Dictionary
+from termloom.operators.lookup import BROADCAST_LIMIT, Dictionary
 from termloom.session import materialize
 
 # monotonically_increasing_id() keeps the partition above this bit and the row number below it.
 _ROW_BITS = 33
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(value, line)``: lines of a text file or folder, numbered from 1 over its files in order of their names.
+
+    A task reads its splits one after the other, so within a split row numbers follow the lines. Lines are
+    written down with those, the lines of each split are counted, and a running sum over the splits, in order of
+    file and place in it, says with which number each begins.
+    """
+    found = materialize(
+        spark.read.text(path).select(
+            "value",
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("place"),
+        ),
+        "lines",
+    )
+    splits = found.groupBy("file", "block").agg(F.min("place").alias("least"), F.count(F.lit(1)).alias("n"))
+    # One row per split.
+    before = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.select("file", "block", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("least")).alias("shift"))
+    table = Dictionary(materialize(starts, "splits"))
+    joined = found.join(F.broadcast(table.df) if table.fits() else table.df, ["file", "block"])
+    return joined.select("value", (F.col("shift") + F.col("place") + 1).alias("line"))
+
+
 def load_ids(spark: SparkSession, path: str, word: str, ident: str) -> DataFrame:
     """``(ident, word)`` of a text file, the id being the 1-based line number.
 
-    A repeated line keeps its last number and still uses up the earlier ones. Only the RDD text reader
-    promises the order of lines over several splits, hence ``zipWithIndex``.
+    A repeated line keeps its last number and still uses up the earlier ones.
     """
-    schema = T.StructType([T.StructField(word, T.StringType(), False), T.StructField("line", T.LongType(), False)])
-    lines = spark.createDataFrame(spark.sparkContext.textFile(path).zipWithIndex(), schema)
-    return lines.groupBy(word).agg((F.max("line") + 1).alias(ident)).select(ident, word)
+    lines = numbered_lines(spark, path).groupBy(F.col("value").alias(word))
+    return lines.agg(F.max("line").alias(ident)).select(ident, word)
 
 
-def load_term_dictionary(spark: SparkSession, path: str) -> Dictionary:
-    return Dictionary(materialize(load_ids(spark, path, "term", "term_id"), "terms"))
+def load_term_dictionary(spark: SparkSession, path: str, limit: int = BROADCAST_LIMIT) -> Dictionary:
+    return Dictionary(materialize(load_ids(spark, path, "term", "term_id"), "terms"), limit)
 
 
-def load_doc_dictionary(spark: SparkSession, path: str) -> Dictionary:
-    return Dictionary(materialize(load_ids(spark, path, "doc_name", "doc_id"), "docs"))
+def load_doc_dictionary(spark: SparkSession, path: str, limit: int = BROADCAST_LIMIT) -> Dictionary:
+    return Dictionary(materialize(load_ids(spark, path, "doc_name", "doc_id"), "docs"), limit)
 
 
 def load_stopwords(spark: SparkSession, path: str) -> DataFrame:

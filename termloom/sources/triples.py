@@ -43,17 +43,17 @@ def parse_lenient(lines: DataFrame, schema: dict[str, str]) -> tuple[DataFrame,
     return _parse(lines, schema, F.size("fields") >= len(schema))
 
 
-def read_counts(spark: SparkSession, path: str) -> DataFrame:
-    return parse_strict(read_lines(spark, path), COUNTS)[0]
+def read_counts(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    return parse_strict(read_lines(spark, path), COUNTS)
 
 
-def read_weights(spark: SparkSession, path: str) -> DataFrame:
-    return parse_lenient(read_lines(spark, path), WEIGHTS)[0]
+def read_weights(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    return parse_lenient(read_lines(spark, path), WEIGHTS)
 
 
-def read_totals(spark: SparkSession, path: str) -> DataFrame:
-    return parse_strict(read_lines(spark, path), TOTALS)[0]
+def read_totals(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    return parse_strict(read_lines(spark, path), TOTALS)
 
 
-def read_averages(spark: SparkSession, path: str) -> DataFrame:
-    return parse_lenient(read_lines(spark, path), AVERAGES)[0]
+def read_averages(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    return parse_lenient(read_lines(spark, path), AVERAGES)

@@ -1,6 +1,6 @@
 """Sources and sinks on small hand-made files."""
 
-import os
+import pathlib
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -40,6 +40,7 @@ def corpus_dir(tmp_path):
     put(root, "sport/002.old.txt", b"down up\rup")
     put(root, "sport/003.txt", b"")
     put(root, "a+b c%/001.txt", b"up")
+    put(root, "sport/README.TXT", b"up")
     put(root, "README.TXT", b"up up up")
     return str(root)
 
@@ -60,6 +61,7 @@ def test_corpus_names_and_lines(spark, corpus_dir):
         "sport.001",
         "sport.002",
         "a+b c%.001",
+        "sport.README",
     }
     assert {r["class"] for r in rows} == {"business", "sport", "a+b c%"}
     lines = sorted(r["text"] for r in rows if r["doc_name"] == "business.001")
@@ -75,13 +77,14 @@ def test_inventory_and_file_count(spark, corpus_dir):
         ("sport", "001.txt", "sport.001.txt"),
         ("sport", "002.old.txt", "sport.002.old.txt"),
         ("a+b c%", "001.txt", "a+b c%.001.txt"),
+        ("sport", "003.txt", "sport.003.txt"),  # empty, so no scan shows it
+        ("sport", "README.TXT", "sport.README.TXT"),  # only the one beside the class folders is left out
     }
-    # The empty file counts here although no scan shows it; README.TXT does not.
-    assert count_corpus_files(spark, corpus_dir).collect()[0]["n_docs"] == 6
+    assert count_corpus_files(spark, corpus_dir).collect()[0]["n_docs"] == 7
 
 
 def test_file_pipeline(spark, corpus_dir, side_files, out):
-    run = TermStatistics.from_files(spark, corpus_dir, *side_files)
+    run = TermStatistics.from_files(spark, corpus_dir, *side_files, report_format="%.6f")
     counts = {(r["term_id"], r["doc_id"]): r["freq"] for r in run.counts.collect()}
     assert counts == {
         (1, 1): 3,  # up
@@ -96,7 +99,7 @@ def test_file_pipeline(spark, corpus_dir, side_files, out):
         (2, 4): 1,
     }
     assert {tuple(r) for r in run.kept.collect()} == {(1, 1, 3), (1, 2, 1), (1, 3, 1), (1, 4, 2)}
-    weight = 1.0 + __import__("math").log(7 / 5)
+    weight = 1.0 + __import__("math").log(8 / 5)
     assert {(r["doc_id"], round(r["tfidf"], 12)) for r in run.tfidf.collect()} == {
         (d, round(weight, 12)) for d in (1, 2, 3, 4)
     }
@@ -105,12 +108,12 @@ def test_file_pipeline(spark, corpus_dir, side_files, out):
     assert averages == pytest.approx({("business", "up"): weight, ("sport", "up"): weight * 2 / 4})
 
     run.write_all(out, ordered=True)
-    assert {tuple(r) for r in read_counts(spark, f"{out}/term_frequency").collect()} == {
+    assert {tuple(r) for r in read_counts(spark, f"{out}/term_frequency")[0].collect()} == {
         (t, d, n) for (t, d), n in counts.items()
     }
-    assert read_counts(spark, f"{out}/low_frequency").count() == 4
+    assert read_counts(spark, f"{out}/low_frequency")[0].count() == 4
     assert [tuple(r) for r in parse_strict(spark.read.text(f"{out}/top_frequency"), TOP_LIST)[0].collect()] == [("up", 7)]
-    assert read_weights(spark, f"{out}/tfidf").count() == 4
+    assert read_weights(spark, f"{out}/tfidf")[0].count() == 4
     report = sorted(r["value"] for r in spark.read.text(f"{out}/top_avg_tfidf").collect())
     assert report == [f"business\tup:{weight:.6f}", f"sport\tup:{weight / 2:.6f}"]
 
@@ -118,11 +121,11 @@ def test_file_pipeline(spark, corpus_dir, side_files, out):
 def test_per_document_folders(spark, corpus_dir, side_files, out):
     run = TermStatistics.from_files(spark, corpus_dir, *side_files)
     run.write_per_document(out)
-    assert sorted(d for d in os.listdir(out) if d.startswith("doc_name=")) == [
-        "doc_name=business.001",
-        "doc_name=business.002",
-        "doc_name=sport.001",
-        "doc_name=sport.002",
+    assert sorted(str(p.relative_to(out)) for p in pathlib.Path(out).glob("class=*/doc_name=*")) == [
+        "class=business/doc_name=business.001",
+        "class=business/doc_name=business.002",
+        "class=sport/doc_name=sport.001",
+        "class=sport/doc_name=sport.002",
     ]
     rows = {tuple(r) for r in read_per_document(spark, out).where("doc_name = 'sport.002'").collect()}
     assert rows == {("sport.002", 1, 2), ("sport.002", 2, 1)}
@@ -139,8 +142,12 @@ def test_numeric_document_names_stay_text(spark, out):
 def test_dictionary_keeps_last_line_over_many_splits(spark, tmp_path):
     lines = [f"t{i}" for i in range(150000)] + [f"t{i}" for i in range(50000)]
     path = put(tmp_path, "big.terms", "\n".join(lines).encode())
-    spark.sparkContext._jsc.hadoopConfiguration().set("mapreduce.input.fileinputformat.split.maxsize", "200000")
-    ids = load_ids(spark, path, "term", "term_id")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200000")
+    try:
+        ids = load_ids(spark, path, "term", "term_id")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert ids.count() == 150000
     got = dict(ids.where("term in ('t0', 't49999', 't50000', 't149999')").select("term", "term_id").collect())
     assert got == {"t0": 150001, "t49999": 200000, "t50000": 50001, "t149999": 150000}
@@ -203,10 +210,10 @@ def test_lenient_triples(lines):
 def test_pairs_and_averages(spark, out):
     df = spark.sql("SELECT * FROM VALUES (3L, 10L), (4L, 11L) AS t(term_id, total)")
     write_rows(df, out + "1")
-    assert {tuple(r) for r in read_totals(spark, out + "1").collect()} == {(3, 10), (4, 11)}
+    assert {tuple(r) for r in read_totals(spark, out + "1")[0].collect()} == {(3, 10), (4, 11)}
     avg = spark.sql("SELECT * FROM VALUES ('de', 'den', 1.0E-7D), ('en', 'is', 0.25D) AS t(class, term, avg_tfidf)")
     write_rows(avg, out + "2")
-    assert {tuple(r) for r in read_averages(spark, out + "2").collect()} == {("de", "den", 1e-7), ("en", "is", 0.25)}
+    assert {tuple(r) for r in read_averages(spark, out + "2")[0].collect()} == {("de", "den", 1e-7), ("en", "is", 0.25)}
     assert list(AVERAGES) == avg.columns
 
 
@@ -216,7 +223,7 @@ def test_doubles_survive_text(spark, out):
     )
     df = spark.createDataFrame(df.collect(), df.schema)
     write_matrix(df, out)
-    assert read_weights(spark, out).exceptAll(df).count() == 0
+    assert read_weights(spark, out)[0].exceptAll(df).count() == 0
 
 
 def test_sorted_matrix_orders_ids_as_text(spark):
@@ -245,3 +252,58 @@ def test_steps_one_by_one_equal_one_run(spark, corpus_dir, side_files, tmp_path)
     for step, name in zip(("p1", "p2", "p3", "p4", "p5"), ("term_frequency", "low_frequency", "top_frequency", "tfidf", "top_avg_tfidf")):
         assert lines(out[step]) == lines(f"{out['all']}/{name}"), name
     assert read_per_document(spark, out["per"]).count() == len(lines(out["p1"]))
+
+
+def test_large_documents_are_several_files(spark, out, monkeypatch):
+    from termloom.sinks import text
+
+    monkeypatch.setattr(text, "ROWS_PER_FILE", 100)
+    rows = spark.range(1000).select(F.col("id").alias("term_id"), F.lit(2).cast("bigint").alias("freq"), F.lit("a.1").alias("doc_name"))
+    text.write_per_document(rows.union(rows.limit(3).withColumn("doc_name", F.lit("b.2"))), out)
+    assert len(list(pathlib.Path(out).glob("class=a/doc_name=a.1/part-*"))) > 3
+    assert len(list(pathlib.Path(out).glob("class=b/doc_name=b.2/part-*"))) == 1
+    assert read_per_document(spark, out).count() == 1003
+
+
+def test_null_shares_are_written_as_such(spark, out):
+    df = spark.sql("SELECT * FROM VALUES (1L, 1L, CAST(NULL AS DOUBLE)), (2L, 1L, 0.5D) AS t(term_id, doc_id, tfidf)")
+    write_matrix(df, out)
+    assert sorted(r["value"] for r in spark.read.text(out).collect()) == ["1\t1\tNaN", "2\t1\t0.5"]
+    with pytest.raises(Exception, match="null in column doc_id"):
+        write_matrix(spark.sql("SELECT 1L AS term_id, CAST(NULL AS BIGINT) AS doc_id, 1L AS freq"), out + "2")
+
+
+def values(spark, path):
+    return sorted(r["value"] for r in spark.read.text(path).collect())
+
+
+def test_rejected_lines_are_kept_and_counted(spark, tmp_path, corpus_dir, capsys):
+    from termloom.__main__ import main
+
+    path = put(tmp_path, "m.mtx", b"1\t1\t0\n2\t2\t3\n3\t2\t0\nbad\n1 2\n1\t2\tx\n")
+    for command, more in (("tfidf", ["--corpus", corpus_dir]), ("tf", []), ("totals", []), ("low-frequency", [])):
+        out = str(tmp_path / command)
+        main([command, "--matrix", path, *more, "--out", out])
+        assert values(spark, out + ".rejects") == sorted(["bad", "1 2", "1\t2\tx"])
+        assert "3 lines rejected" in capsys.readouterr().out
+    assert [v.split("\t")[:2] for v in values(spark, str(tmp_path / "tfidf"))] == [["1", "1"], ["2", "2"], ["3", "2"]]
+    assert values(spark, str(tmp_path / "tf")) == ["1\t1\tNaN", "2\t2\t1.0", "3\t2\t0.0"]
+    assert values(spark, str(tmp_path / "totals")) == ["1\t0", "2\t3", "3\t0"]
+
+
+def test_flags_reach_their_outputs(spark, corpus_dir, side_files, tmp_path):
+    from termloom.__main__ import main
+
+    terms, docs, stops = side_files
+    raw = ["--corpus", corpus_dir, "--terms", terms, "--docs", docs, "--stopwords", stops]
+    plain, changed = str(tmp_path / "plain"), str(tmp_path / "changed")
+    main(["all", *raw, "--min-total", "1", "--out", plain])
+    flags = ["--plain-idf", "--top", "1", "--top-per-class", "1", "--min-total", "2", "--report-format", "%.3f"]
+    main(["all", *raw, *flags, "--broadcast-limit", "0", "--out", changed])
+    for name in ("low_frequency", "top_frequency", "tfidf", "top_avg_tfidf"):
+        assert values(spark, f"{plain}/{name}") != values(spark, f"{changed}/{name}"), name
+    assert values(spark, f"{plain}/term_frequency") == values(spark, f"{changed}/term_frequency")
+    assert len(values(spark, f"{changed}/top_frequency")) == 1
+    for refused in (["tfidf", "--matrix", "x", "--corpus", "y", "--out", "z", "--min-total", "3"], ["totals", "--matrix", "x", "--out", "y", "--top", "1"]):
+        with pytest.raises(SystemExit):
+            main(refused)

@@ -214,6 +214,90 @@ def test_hot_key_is_cut_into_slices(spark, hot_sides):
     assert max(sizes) < sum(sizes) / 6
 
 
+@pytest.fixture
+def plain_joins(spark):
+    settings = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def partition_sizes(df):
+    return [r["n"] for r in df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+
+
+def test_equal_rows_are_cut_by_their_place(spark, plain_joins, out):
+    """Three quarters of all tokens are the same word of documents with the same key."""
+    text = " ".join(["the"] * 300 + [f"w{i}" for i in range(100)])
+    frame(spark, [(7, text)] * 100, "src_id bigint, text string").write.parquet(out)
+    tokens = T.clean_tokens(spark.read.parquet(out), place="place")
+    terms = Dictionary(frame(spark, [(0, "the")] + [(i + 1, f"w{i}") for i in range(100)], "term_id bigint, term string"), 0)
+    for joined in (T.encode_terms(tokens, terms, "place"), T.known_terms(tokens, terms, "place")):
+        sizes = partition_sizes(joined)
+        assert sum(sizes) == 40_000 and max(sizes) < 4 * sum(sizes) / 32
+    assert T.out_of_vocabulary(tokens, terms, "place").count() == 0
+    assert T.remove_stopwords(tokens, Dictionary(terms.df.where("term_id = 0"), 0), "place").count() == 10_000
+    assert T.encode_terms(tokens, terms, "place").where("term = 'the'").count() == 30_000
+
+
+def test_lines_of_one_document_are_spread(spark):
+    rows = spark.range(20_000).select(
+        F.when(F.col("id") % 20 == 0, F.col("id")).otherwise(F.lit(1)).alias("doc_id"), F.concat(F.lit("line "), "id").alias("text")
+    )
+    sizes = partition_sizes(T.tokenize(rows, partitions=8))
+    assert len(sizes) == 8 and max(sizes) < 2 * sum(sizes) / 8
+
+
+def test_long_document_is_cut(spark, plain_joins):
+    """One document has half of all pairs, and no dictionary bounds the matrix."""
+    rows = spark.range(20_000).select(
+        F.col("id").alias("term_id"),
+        F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("id") % 500).cast("bigint").alias("doc_id"),
+        F.lit(2).cast("bigint").alias("freq"),
+    )
+    tf = W.term_weight_tf(rows)
+    sizes = partition_sizes(tf)
+    assert sum(sizes) == 20_000 and max(sizes) < 4 * sum(sizes) / 32
+    assert tf.where("doc_id = -1 and tf = 1 / 10000D").count() == 10_000
+
+
+def test_zero_totals_stay_without_a_threshold(spark):
+    m = frame(spark, [(1, 1, 0), (2, 2, 3), (3, 2, 0)], "term_id bigint, doc_id bigint, freq bigint")
+    size = spark.sql("SELECT 2L AS n_docs")
+    weights = {(r["term_id"], r["doc_id"]): r["tfidf"] for r in W.tfidf(m, size, min_total=None).collect()}
+    assert set(weights) == {(1, 1), (2, 2), (3, 2)} and weights[1, 1] is None and weights[3, 2] == 0
+
+
+def test_nested_columns_are_measured(spark):
+    wide = spark.range(3).select("id", F.sequence(F.lit(0), F.lit(10_000)).alias("a"))
+    assert Dictionary(wide).size[1] > 3 * 8 * 10_000 and not Dictionary(wide, 100_000).fits()
+    nulls = spark.sql("SELECT 1 AS id, CAST(NULL AS ARRAY<INT>) AS a, CAST('abc' AS BINARY) AS b")
+    assert Dictionary(nulls).fits()
+
+
+def test_close_deletes_what_a_run_wrote(spark, make_run):
+    import glob
+
+    from termloom.session import scratch_root
+
+    root = scratch_root(spark).removeprefix("file://")
+    before = set(glob.glob(f"{root}/*/*"))
+    run = make_run(0, 0)
+    run.report.collect(), run.kept.collect(), run.tfidf.collect()
+    written = set(glob.glob(f"{root}/*/*")) - before
+    names = sorted(name.rsplit("/", 1)[1].split("-")[0] for name in written)
+    assert names.count("stats") == 1 and names.count("pairs") == 1, "words are counted and their statistics made once"
+    run.close()
+    assert set(glob.glob(f"{root}/*/*")) == before
+
+
 def test_dictionary_size_is_measured(spark):
     d = Dictionary(spark.sql("SELECT * FROM VALUES (1L, 'ab'), (2L, 'é') AS t(id, w)"), limit=100)
     assert d.size == (2, 2 * (32 + 8) + 2 + 2)
@@ -261,13 +345,15 @@ def test_ties_are_cut_by_term(spark, partitions):
         terms = frame(spark, list(enumerate(names)), "term_id bigint, term string")
         top = L.top_terms(totals, terms)
         assert top.columns == ["rk", "term", "frequency"]
-        assert [r["term"] for r in top.collect()] == list("kjihgfedcb"[0:0]) + sorted(names)[:10][::-1]
+        assert [r["term"] for r in top.collect()] == sorted(names)[:10][::-1]
         averages = frame(spark, [("x", n, 0.1 + 0.2) for n in "gfedcba"] + [("y", "q", 0.5)], "class string, term string, avg_tfidf double")
         best = L.top_terms_by_class(averages)
         rows = best.where("class = 'x'").orderBy("rk").collect()
         assert [(r["rk"], r["term"]) for r in rows] == list(enumerate("abcde", 1))
-        report = dict(L.class_report(best).collect())
+        report = dict(L.class_report(best, "%.6f").collect())
         assert report == {"x": ", ".join(f"{t}:0.300000" for t in "abcde"), "y": "q:0.500000"}
+        report = dict(L.class_report(best).collect())
+        assert report == {"x": ", ".join(f"{t}:{0.1 + 0.2}" for t in "abcde"), "y": "q:0.5"}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
 
@@ -278,6 +364,12 @@ def test_last_bits_do_not_decide_a_rank(spark):
     assert [r["term"] for r in rows] == ["a"]
 
 
+def test_small_averages_are_not_ties(spark):
+    averages = frame(spark, [("x", "a", 1e-13), ("x", "b", 4e-13), ("y", "a", 0.0), ("y", "b", -1.0)], "class string, term string, avg_tfidf double")
+    best = {r["class"]: r["term"] for r in L.top_terms_by_class(averages, 1).collect()}
+    assert best == {"x": "b", "y": "a"}
+
+
 def test_class_size_counts_documents_without_terms(spark):
     docs = frame(spark, [(1, "x.1"), (2, "x.2"), (3, "nodot")], "doc_id bigint, doc_name string")
     weights = frame(spark, [(7, 1, 1.0), (7, 3, 0.5), (7, 99, 4.0), (8, 1, 1.0)], "term_id bigint, doc_id bigint, tfidf double")

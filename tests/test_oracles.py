@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from catalog.oracles import ORACLES
+from catalog.queries import QUERIES
 
 SF_DIR = os.environ.get("TERMLOOM_TEST_DIR", "/root/testdata/sf0.001")
 TABLES = ("documents", "labels", "benchmark", "lineitem")
@@ -26,13 +28,14 @@ def canonical(columns, rows):
 
 
 def test_every_query_has_a_twin():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(name, spark, duck):
-    df = queries()[name](spark, SF_DIR)
-    cursor = duck.execute(oracle_sql()[name])
+    df = QUERIES[name](spark, SF_DIR)
+    cursor = duck.execute(ORACLES[name])
     columns = [c[0] for c in cursor.description]
     assert sorted(df.columns) == sorted(columns)
     got = canonical(df.columns, [tuple(r) for r in df.collect()])

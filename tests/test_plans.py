@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from catalog import fixtures as X
 from catalog.queries import QUERIES
+from termloom.operators import counts as C
+from termloom.operators import tokens as T
 from termloom.operators.lookup import Dictionary
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -39,10 +41,6 @@ def big_run(spark):
 
 def test_no_python_in_any_plan(spark):
     for name, build in QUERIES.items():
-        if name.startswith("dictionary_") or name == "mtx_sorted":
-            continue  # line numbers come from an RDD, see load_ids
-        if "roundtrip" in name or name == "per_document_tf":
-            continue  # the plan handed out is only a file scan
         assert not re.search(r"Python|Pandas|Arrow", plan_of(build(spark, SF_DIR))), name
 
 
@@ -64,13 +62,51 @@ def test_totals_form_no_pairs(run):
     assert not re.search(r"hashpartitioning\(term_id#\d+L, doc_id", text)
 
 
-@pytest.mark.parametrize("result", ["kept", "tfidf", "report"])
+@pytest.mark.parametrize("result", ["kept", "frequencies", "tfidf", "report"])
 def test_matrix_is_counted_once(run, result):
     text = final_plan_of(getattr(run, result))
     assert len(re.findall(r"Generate explode", text)) == 1
     assert "ReusedExchange" in text
 
 
+@pytest.mark.parametrize("result", ["frequencies", "tfidf"])
+def test_matrix_is_exchanged_once_and_no_document_is_a_window(run, result):
+    text = final_plan_of(getattr(run, result))
+    # Of all exchanges only the one that counts has a row per term and document.
+    keys = set(re.findall(r"hashpartitioning\((.*?), \d+\), \w+, \[plan_id", text))
+    keys = {re.sub(r"#\d+L?", "", k) for k in keys}
+    assert sum("term_id" in k and "doc_id" in k for k in keys) == 1
+    assert keys <= {"term_id, doc_id", "term_id", "doc_id", "src_id", "xxhash64(doc_id, text, 42)"}
+    assert len(re.findall(r"\n[^\n]*Exchange hashpartitioning\(term_id#\d+L, doc_id#\d+L", text)) == 1
+    assert "Window" not in text
+
+
+def test_large_document_dictionary_is_joined_once(spark):
+    base = X.statistics(spark, SF_DIR)
+    base.docs = Dictionary(base.docs.df, 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan_of(base.tfidf)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    assert "explode(split" not in text and "src_id" not in re.sub(r"/\S+", "", text), "counts are read as stored"
+    base.close()
+
+
+def test_stop_words_leave_before_the_count(spark):
+    base = X.statistics(spark, SF_DIR)
+    base.terms = Dictionary(base.terms.df, 0)
+    text = plan_of(C.word_doc_counts(base.corpus, base.docs, base.stopwords, doc_key="src_id"))
+    partial, anti = text.index("partial_count"), text.index("LeftAnti")
+    assert partial < anti, "operators below others are printed after them"
+
+
+def test_texts_are_not_shuffled_unless_asked(spark):
+    corpus = X.corpus(spark, SF_DIR).select("src_id", "text")
+    assert "Exchange" not in plan_of(T.clean_tokens(corpus))
+    assert "xxhash64(src_id" in plan_of(T.clean_tokens(corpus, partitions=4))
+
+
 def test_beyond_broadcast_results_scan_stored_pairs(big_run):
     text = plan_of(big_run.tfidf)
     assert "explode(split" not in text
@@ -87,15 +123,16 @@ def test_no_broadcast_beyond_the_limit(spark, big_run):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        text = plan_of(big_run.tfidf)
+        texts = {"term": plan_of(big_run.kept), "doc_id": plan_of(big_run.tfidf)}
         pairs = plan_of(big_run._word_pairs)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    joins = re.findall(r"(\w+Join) \[(\w+)#\d+L?(?:, (salt)#\d+)?", text)
-    assert ("SortMergeJoin", "term", "salt") in joins
-    # All that is broadcast is the list of hot keys, once for each side of the salted join.
-    assert [j for j in joins if j[0] == "BroadcastHashJoin"] == [("BroadcastHashJoin", "term", "")] * 2
+    for key, text in texts.items():
+        joins = re.findall(r"(\w+Join) \[(\w+)#\d+L?(?:, (salt)#\d+)?", text)
+        assert ("SortMergeJoin", key, "salt") in joins
+        # All that is broadcast is the list of hot keys, once for each side of the salted join.
+        assert [j for j in joins if j[0] == "BroadcastHashJoin"] == [("BroadcastHashJoin", key, "")] * 2
     assert "Broadcast" not in pairs
 
 
