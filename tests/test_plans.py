@@ -3,7 +3,6 @@
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from catalog import fixtures as X
 from catalog.queries import QUERIES
