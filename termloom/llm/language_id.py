@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termloom.llm.common import column, free_name
+from termloom.llm.workers import tidy
 
 UNKNOWN = "und"
 SAMPLE = 4_000
@@ -37,8 +38,8 @@ SWITCH = 15.0
 # A language writes in the scripts that make up this share of its letters.
 SCRIPT_SHARE = 0.01
 # Texts are scored in portions of so many characters, and paths found for so many scores, at a time.
-PORTION = 1 << 20
-SCORES = 1 << 24
+PORTION = 1 << 19
+SCORES = 1 << 22
 
 # First and last code points of scripts; letters elsewhere count as one script more.
 SCRIPTS = (
@@ -93,14 +94,15 @@ def _script_of_letter() -> np.ndarray:
 
 @dataclass
 class _Words:
-    """The words of some texts: for each word its text, first and last character, script and letter count."""
+    """The words of some texts: for each word its text, first and last character, script and letters."""
 
     text: np.ndarray
     start: np.ndarray
     end: np.ndarray
     script: np.ndarray
+    letters: np.ndarray
     first_letter: np.ndarray
-    features: np.ndarray  # two rows, one column per letter
+    features: np.ndarray | None  # two rows, one column per letter; dropped when they are scored
 
 
 def _words(texts: list[str]) -> _Words:
@@ -123,9 +125,9 @@ def _words(texts: list[str]) -> _Words:
     owner = np.searchsorted(ends, place[first], side="right")
     offset = (ends - lengths)[owner]
     last = np.append(first[1:], len(place))[: len(first)] - 1
-    return _Words(
-        owner, place[first] - offset, place[last] + 1 - offset, script[place[first]] - 1, first, np.stack(mixed)
-    )
+    start, end = place[first] - offset, place[last] + 1 - offset
+    letters = np.diff(first, append=len(place))
+    return _Words(owner, start, end, script[place[first]] - 1, letters, first, np.stack(mixed))
 
 
 @dataclass
@@ -203,7 +205,7 @@ def predict(texts: list[str], model: LanguageModel, with_spans: bool = False) ->
         n_texts = waiting[-1][0] + 1 + int(waiting[-1][1].text.max(initial=0)) - (base := waiting[0][0])
         owner = np.concatenate([w.text + at - base for at, w, _ in waiting])
         labels = viterbi(np.concatenate([s for *_, s in waiting]), np.bincount(owner, minlength=n_texts))
-        letters = np.concatenate([np.diff(w.first_letter, append=w.features.shape[1]) for _, w, _ in waiting])
+        letters = np.concatenate([w.letters for _, w, _ in waiting])
         share = np.zeros((n_texts, len(model.languages)))
         np.add.at(share, (owner, labels), letters)
         total = share.sum(axis=1)
@@ -225,6 +227,7 @@ def predict(texts: list[str], model: LanguageModel, with_spans: bool = False) ->
         words = _words(texts[start:end])
         if len(words.text):
             waiting.append((start, words, model.word_scores(words)))
+            words.features = None
             held += waiting[-1][2].size
         if held >= SCORES:
             settle()
@@ -243,9 +246,8 @@ def _count_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             texts = texts.tolist()
             for start, end in _portions(texts, PORTION):
                 words = _words(texts[start:end])
-                letters = np.diff(words.first_letter, append=words.features.shape[1])
                 counts = np.bincount(words.features.ravel(), minlength=1 << BITS)
-                written = np.bincount(words.script, weights=letters, minlength=len(SCRIPT_NAMES))
+                written = np.bincount(words.script, weights=words.letters, minlength=len(SCRIPT_NAMES))
                 groups[lang] = groups.get(lang, 0) + counts
                 scripts[lang] = scripts.get(lang, 0) + written.astype(np.int64)
     for kind, found in (("group", groups), ("script", scripts)):
@@ -270,7 +272,7 @@ def fit(
     place = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(1 << 30)) / float(1 << 30)
     chosen = labelled.where(place < F.element_at(rates, F.col("lang"))).select("lang", "text")
     found = (
-        chosen.mapInPandas(_count_features, "lang string, kind string, place int, n bigint")
+        chosen.mapInPandas(tidy(_count_features), "lang string, kind string, place int, n bigint")
         .groupBy("lang", "kind", "place")
         .agg(F.sum("n").alias("n"))
         .toPandas()
@@ -294,11 +296,15 @@ def identify(
     shared = docs.sparkSession.sparkContext.broadcast(model)
     fields = PREDICTION if with_spans else T.StructType(PREDICTION.fields[:2])
 
-    @F.pandas_udf(fields)
-    def language(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @tidy
+    def predictions(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield predict(batch.tolist(), shared.value, with_spans)[fields.names]
 
+    @F.pandas_udf(fields)
+    def language(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        yield from predictions(batches)
+
     return docs.withColumn(free_name(docs, name), language(F.coalesce(column(text), F.lit(""))))
 
 
