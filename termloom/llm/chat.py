@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from termloom.llm.bpe import vocabulary
 from termloom.llm.common import column
+from termloom.llm.workers import tidy
 from termloom.operators.lookup import salted_join
 from termloom.session import materialize
 
@@ -70,10 +71,11 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
 def _sorted_turns(conversations: DataFrame, path: str) -> DataFrame:
     """Formatted turns in order, with their tokens and the tokens of all turns before (``position``)."""
 
+    @tidy
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = vocabulary(path).encode
         part, total = TaskContext.get().partitionId(), 0
         for batch in batches:
+            encode = vocabulary(path).encode
             batch = batch.copy()
             batch["formatted"] = [format_turn(r, t) for r, t in zip(batch["role"], batch["text"])]
             batch["tokens"] = [len(encode(x)) for x in batch["formatted"]]

@@ -29,10 +29,6 @@ def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def hot_keys(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def without_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose ``key`` is not in ``ids``; rows with a null key stay.
 

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from termloom.llm.bpe import ID_TYPE, vocabulary
 from termloom.llm.common import column
+from termloom.llm.workers import tidy
 from termloom.operators.lookup import Dictionary
 from termloom.session import materialize
 
@@ -97,12 +98,13 @@ def tokenized_pieces(
         f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, part int, place bigint, ids binary"
     )
 
+    @tidy
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = vocabulary(path).encode
         seen: dict[int, int] = defaultdict(int)
         part = TaskContext.get().partitionId()
         end = np.array([END_ID], ID_TYPE)
         for batch in batches:
+            encode = vocabulary(path).encode
             rows = []
             for doc, body in zip(batch["doc_id"], batch["text"]):
                 ids = np.concatenate([encode(body), end])

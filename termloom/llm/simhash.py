@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from termloom.llm.common import column, free_name, without_ids
+from termloom.llm.workers import tidy
 from termloom.operators.lookup import salted_join
 from termloom.session import materialize
 
@@ -76,9 +77,14 @@ def fingerprint(text: str | None) -> int:
 def with_fingerprints(docs: DataFrame, text: str = "text", name: str = "fingerprint") -> DataFrame:
     """``docs`` with the fingerprint of each text as a signed 64-bit integer."""
 
+    @tidy
+    def fingerprints(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([_signed(fingerprint(t)) for t in texts], dtype="int64")
+
     @F.pandas_udf("bigint")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([_signed(fingerprint(t)) for t in texts], dtype="int64")
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        yield from fingerprints(batches)
 
     return docs.withColumn(free_name(docs, name), of(F.coalesce(column(text), F.lit(""))))
 
@@ -266,7 +272,7 @@ def similarity_edges(fingerprints: DataFrame, fp: str = "fp") -> DataFrame:
         F.posexplode(F.array(*[F.col(fp).bitwiseAND(F.lit(_signed(m))) for m in MASKS])).alias("pair", "bits"),
     )
     sorted_nodes = dealt.repartition("pair", "bits").sortWithinPartitions("pair", "bits", gray_rank(F.col("fp")))
-    found = materialize(sorted_nodes.mapInPandas(_link_nodes, _EDGE), "edges")
+    found = materialize(sorted_nodes.mapInPandas(tidy(_link_nodes), _EDGE), "edges")
     inner = found.where(F.col("node").isNull()).select("a", "b")
     return inner.union(_edges_between_runs(found.where(F.col("node").isNotNull()).drop("b"))).distinct()
 

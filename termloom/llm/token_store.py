@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from termloom.llm.bpe import ID_TYPE, vocabulary
 from termloom.llm.common import column
 from termloom.llm.files import new_file, open_file
+from termloom.llm.workers import tidy
 from termloom.session import materialize, scratch_path
 
 MAGIC = b"TLDAC001"
@@ -136,8 +137,8 @@ def write_tokens(docs: DataFrame, path: str, folder: str, text: str = "text", do
     )
     ranged = wanted.repartitionByRange("doc_id", "place").sortWithinPartitions("doc_id", "place")
 
+    @tidy
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = vocabulary(path).encode
         part = TaskContext.get().partitionId()
         end = np.array([END_ID], ID_TYPE)
         docs_held: list[int] = []
@@ -156,6 +157,7 @@ def write_tokens(docs: DataFrame, path: str, folder: str, text: str = "text", do
             return pd.DataFrame(row)
 
         for batch in batches:
+            encode = vocabulary(path).encode
             for doc, body in zip(batch["doc_id"].astype("Int64").fillna(NO_ID), batch["text"]):
                 ids = np.concatenate([encode(body), end])
                 docs_held.append(doc), ids_held.append(ids)
