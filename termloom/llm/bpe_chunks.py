@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from termloom.llm.bpe import ID_TYPE, Vocabulary, vocabulary
 from termloom.llm.common import column
+from termloom.llm.workers import tidy
 from termloom.session import materialize
 
 CHUNK = 1 << 15
@@ -86,9 +87,10 @@ def stitch(chunks: list[dict]) -> np.ndarray:
 def _whole(docs: DataFrame, path: str, fields: str, finish: Finish, kind: str) -> DataFrame:
     """Texts encoded as single chunks."""
 
+    @tidy
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocab = vocabulary(path)
         for batch in batches:
+            vocab = vocabulary(path)
             rows = [finish(vocab.encode(text), vocab) for text in batch["text"]]
             frame = pd.DataFrame(rows, columns=[f.split()[0] for f in fields.split(", ")])
             frame.insert(0, "doc_id", batch["doc_id"].to_numpy())
@@ -124,9 +126,10 @@ def encode_documents(
         ).alias("chunk", "body"),
     )
 
+    @tidy
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocab = vocabulary(path)
         for batch in batches:
+            vocab = vocabulary(path)
             found = [
                 encode_chunk(vocab, body, at == last, chunk)
                 for body, at, last in zip(batch["body"], batch["chunk"], batch["last"])
@@ -141,9 +144,6 @@ def encode_documents(
     # Dealt by chunk, so that the chunks of one text go to many tasks.
     dealt = chunks.repartition("row", "chunk")
     encoded = materialize(dealt.mapInPandas(encode, schema), "chunks")
-    apart = encoded.where(F.col("hands_over").isNull()).select("doc_id", "content").distinct()
-    by_content = F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("c") == F.col("content"))
-    apart = apart.select(F.col("doc_id").alias("d"), F.col("content").alias("c"))
     names = [f.split()[0] for f in fields.split(", ")]
 
     def stitched(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
@@ -153,9 +153,16 @@ def encode_documents(
         frame.insert(0, "doc_id", group["doc_id"].iloc[:1].to_numpy())
         return frame
 
-    agreed = encoded.join(apart, by_content, "left_anti").groupBy("row").applyInPandas(stitched, f"doc_id {kind}, {fields}")
-    whole = _whole(long.join(apart, by_content, "left_semi"), path, fields, finish, kind)
-    return short.union(agreed).union(whole)
+    def stitch_all(encoded: DataFrame) -> DataFrame:
+        return short.union(encoded.groupBy("row").applyInPandas(stitched, f"doc_id {kind}, {fields}"))
+
+    apart = encoded.where(F.col("hands_over").isNull())
+    if apart.isEmpty():
+        return stitch_all(encoded)
+    apart = apart.select(F.col("doc_id").alias("d"), F.col("content").alias("c")).distinct()
+    same = F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("c") == F.col("content"))
+    whole = _whole(long.join(apart, same, "left_semi"), path, fields, finish, kind)
+    return stitch_all(encoded.join(apart, same, "left_anti")).union(whole)
 
 
 def decode_documents(encoded: DataFrame, path: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
