@@ -6,8 +6,9 @@ The components of all vectors are cut into ``PARTS`` runs; each run is a node th
    are scored in full; the k-th highest of these scores is a cutoff no result can be below.
 2. A row that reaches the cutoff has at least cutoff / PARTS in some node. That threshold goes with the queries to
    every node, which returns all rows that reach it. What a row may still have in the nodes that did not return it
-   is less than the threshold, so most returned rows are ruled out by their sum.
-3. The rows left are scored in full, and each query's k best are kept.
+   is less than the threshold, so a row whose sum is too low even with that is ruled out.
+3. What the rows left lack is resolved exactly, in the task that has their vectors, so only rows that reach the
+   cutoff travel; each query's k best are kept.
 
 Queries and rows meet in blocks: rows are dealt to chunks of about ``CHUNK`` by a hash of the id and queries to
 blocks of about ``BLOCK``, and one task multiplies one chunk with one block. No task holds more than that, and
@@ -34,9 +35,9 @@ from termloom.session import materialize
 K = 5
 SCALE = 256
 PARTS = 2
-CHUNK, BLOCK = 1 << 14, 1 << 12
+CHUNK, BLOCK = 1 << 14, 1 << 13
 # Rows of a chunk that are multiplied with a block at a time.
-SLICE = 1 << 11
+SLICE = 1 << 8
 _EXACT = float(2**53)
 
 
@@ -100,7 +101,8 @@ def _lists(k: int):
 
 
 def _reaching(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-    """Phase 2 in one task: rows that reach the threshold in some part and are not ruled out by their sum."""
+    """Phases 2 and 3 in one task: rows that reach the threshold in some part, and of those the ones whose
+    resolved score reaches the cutoff."""
     out = []
     if len(queries) and len(rows):
         ids, x = queries["query_id"].to_numpy(), _matrix(queries["q"])
@@ -108,18 +110,17 @@ def _reaching(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         least = np.where(none, 0, queries["cutoff"].fillna(0).to_numpy(np.int64))
         threshold = -(-least // PARTS)  # a whole number reaches cutoff / PARTS if it reaches this
         for row_ids, y in _slices(rows):
-            known = np.zeros((len(ids), len(row_ids)), np.int64)
-            seen = np.zeros((len(ids), len(row_ids)), np.int64)
-            for part in _parts(x.shape[1]):
-                scores = _products(x[:, part], y[:, part])
-                reached = scores >= threshold[:, None]
-                known += np.where(reached, scores, 0)
-                seen += reached
-            most = known + (PARTS - seen) * (threshold[:, None] - 1)
-            left = ((seen > 0) & (most >= least[:, None])) | none[:, None]
+            parts = [_products(x[:, part], y[:, part]) for part in _parts(x.shape[1])]
+            reached = [scores >= threshold[:, None] for scores in parts]
+            known = sum(np.where(r, scores, 0) for r, scores in zip(reached, parts))
+            missing = PARTS - sum(r.astype(np.int64) for r in reached)
+            most = known + missing * (threshold[:, None] - 1)
+            left = ((missing < PARTS) & (most >= least[:, None])) | none[:, None]
             q, r = np.nonzero(left & (ids[:, None] != row_ids[None, :]))
-            out.append(pd.DataFrame({"query_id": ids[q], "vec_id": row_ids[r]}))
-    return pd.concat(out) if out else pd.DataFrame(columns=["query_id", "vec_id"])
+            score = sum(scores[q, r] for scores in parts)
+            enough = (score >= least[q]) | none[q]
+            out.append(pd.DataFrame({"query_id": ids[q], "vec_id": row_ids[r], "score": score})[enough])
+    return pd.concat(out) if out else pd.DataFrame(columns=["query_id", "vec_id", "score"])
 
 
 def _number(rows: int, size: int) -> int:
@@ -171,7 +172,6 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, vector: str = "embed
     known = _best(_score(listed.select("query_id", "vec_id").distinct(), queries, rows), k)
     cutoffs = known.where(F.col("rank") == k).select("query_id", F.col("score").alias("cutoff"))
     with_cutoff = materialize(queries.join(cutoffs, "query_id", "left"), "cutoffs")
-    pairs = meet(with_cutoff, _reaching, "query_id bigint, vec_id bigint")
-    best = _best(_score(materialize(pairs, "candidates"), queries, rows), k)
-    return best.select("query_id", "rank", "vec_id", "score")
+    found = meet(with_cutoff, _reaching, "query_id bigint, vec_id bigint, score bigint")
+    return _best(found, k).select("query_id", "rank", "vec_id", "score")
 
