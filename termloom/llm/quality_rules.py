@@ -34,7 +34,7 @@ MAX_REPEATED_PERCENT = 20
 PER = 1000
 UPPER, MIDDLE = 0.75, 0.5
 FENCE = 6
-LEAST_SPREAD = {"symbols": 8, "dup_lines": 64, "repeats": 32, "capitals": 32, "word_length": 256}
+LEAST_SPREAD = {"symbols": 8, "dup_lines": 64, "repeats": 40, "capitals": 32, "word_length": 512}
 RATIOS = tuple(LEAST_SPREAD)
 # Groups with fewer documents take the limits of their language, and small languages those of the corpus.
 LEAST_GROUP = 50
@@ -229,7 +229,8 @@ def quality_verdicts(
     """
     name = measured_as(docs)
     measured = materialize(measures(docs, text, keep_text), "measured")
-    return judge(measured, name, learn_limits(sketches(measured, name, lang, source)), lang, source)
+    sketch = materialize(sketches(measured, name, lang, source), "sketches")
+    return judge(measured, name, learn_limits(sketch), lang, source)
 
 
 def quality_filter(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
