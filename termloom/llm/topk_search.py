@@ -39,6 +39,8 @@ CHUNK, BLOCK = 1 << 14, 1 << 13
 # Rows of a chunk that are multiplied with a block at a time.
 SLICE = 1 << 8
 _EXACT = float(2**53)
+# Stands for the score of a query with itself; its negative is a 64-bit number, too.
+_NO_SCORE = -(2**63) + 1
 
 
 def quantized(vectors: DataFrame, vector: str = "embedding", ident: str = "vec_id") -> DataFrame:
@@ -78,24 +80,34 @@ def _lists(k: int):
     """Phase 1 in one task: the k best partial scores per query and part."""
 
     def best(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(queries) and len(rows):
-            ids, x = queries["query_id"].to_numpy(), _matrix(queries["q"])
-            for row_ids, y in _slices(rows):
-                keep = min(k + 1, len(row_ids))  # one more, as the query itself may be among them
-                for part in _parts(x.shape[1]):
-                    scores = _products(x[:, part], y[:, part])
-                    top = np.argpartition(-scores, keep - 1, axis=1)[:, :keep]
-                    frame = pd.DataFrame(
-                        {
-                            "query_id": np.repeat(ids, keep),
-                            "part": part.start,
-                            "vec_id": row_ids[top].ravel(),
-                            "score": np.take_along_axis(scores, top, axis=1).ravel(),
-                        }
-                    )
-                    out.append(frame[frame["query_id"] != frame["vec_id"]])
-        return pd.concat(out) if out else pd.DataFrame(columns=["query_id", "part", "vec_id", "score"])
+        names = ["query_id", "part", "vec_id", "score"]
+        if not len(queries) or not len(rows):
+            return pd.DataFrame(columns=names)
+        ids, x = queries["query_id"].to_numpy(), _matrix(queries["q"])
+        parts = _parts(x.shape[1])
+        none = np.zeros((len(ids), 0), np.int64)
+        listed = [(none, none) for _ in parts]  # scores and row ids of each part, k of each query
+        for row_ids, y in _slices(rows):
+            for i, part in enumerate(parts):
+                scores = _products(x[:, part], y[:, part])
+                scores[ids[:, None] == row_ids[None, :]] = _NO_SCORE
+                scores = np.hstack([listed[i][0], scores])
+                places = np.hstack([listed[i][1], np.broadcast_to(row_ids, (len(ids), len(row_ids)))])
+                top = np.argpartition(-scores, min(k, scores.shape[1]) - 1, axis=1)[:, :k]
+                listed[i] = (np.take_along_axis(scores, top, axis=1), np.take_along_axis(places, top, axis=1))
+        frames = [
+            pd.DataFrame(
+                {
+                    "query_id": np.repeat(ids, scores.shape[1]),
+                    "part": number,
+                    "vec_id": places.ravel(),
+                    "score": scores.ravel(),
+                }
+            )
+            for number, (scores, places) in enumerate(listed)
+        ]
+        found = pd.concat(frames)
+        return found[found["score"] != _NO_SCORE]
 
     return best
 
