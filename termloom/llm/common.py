@@ -38,3 +38,15 @@ def without_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     listed = Dictionary(materialize(ids, "ids"))
     side = F.broadcast(listed.df) if listed.fits() else listed.df
     return df.join(side, key, "left_anti").select(*map(column, df.columns))
+
+
+def numbered(docs: DataFrame, row: str) -> DataFrame:
+    """``docs`` written down with a number per row, which stays the same whenever the rows are read."""
+    return materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+
+
+def first_of_each(docs: DataFrame, rows: DataFrame, row: str, kept: DataFrame) -> DataFrame:
+    """The rows of :func:`numbered` ``docs`` whose number is in ``kept (row)``, with the columns of ``docs``."""
+    listed = materialize(kept, "kept").select(F.col("row").alias(row))
+    gone = rows.select(row).join(listed, row, "left_anti")
+    return without_ids(rows, gone, row).select(*map(column, docs.columns))

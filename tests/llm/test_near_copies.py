@@ -1,0 +1,85 @@
+"""Near copies of the pipeline against brute-force Jaccard similarity."""
+
+import random
+
+import corpus_pipeline
+import pytest
+
+from termloom.llm import near_copies as N
+from tests.llm.conftest import SCHEMA
+from tests.llm.test_groups_and_search import brute_roots
+
+
+def brute_set(text):
+    words = [w.decode() for w in (text or "").encode().lower().split()]
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def similar(a, b):
+    return a == b or 5 * len(a & b) >= 4 * len(a | b)
+
+
+def edited(text, edits, chooser):
+    words = text.split()
+    for at in chooser.sample(range(len(words)), edits):
+        words[at] = f"new{chooser.randint(0, 10**6)}"
+    return " ".join(words)
+
+
+def corpus():
+    """Texts with copies in which few to many words differ, on both sides of the limit."""
+    chooser, texts = random.Random(3), []
+    for k in range(25):
+        text = " ".join(f"w{chooser.randint(0, 5000)}" for _ in range(chooser.choice([40, 120, 400])))
+        texts += [text, text.upper(), *(edited(text, n, chooser) for n in (1, 1, 2, 3, 4, 6, 9, 14))]
+    texts += ["", " \n", None, "one two", "One  two", "one two three"]
+    chooser.shuffle(texts)
+    return texts
+
+
+def expected_rows(rows):
+    sets = [brute_set(t) for _, t, *_ in rows]
+    roots = brute_roots(sets, lambda i, j: similar(sets[i], sets[j]))
+    groups = {}
+    for (d, t, *_), root in zip(rows, roots):
+        groups.setdefault(root, []).append((d is None, d or 0, t))
+    return groups
+
+
+def test_stage_keeps_one_of_each_group(spark):
+    rows = [(i, t, "en", "a") for i, t in enumerate(corpus())]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    groups = expected_rows(rows)
+    assert 30 < len(groups) < len(rows) - 50
+    kept = corpus_pipeline.one_of_each(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(min(g)[1] for g in groups.values())
+
+
+def test_rows_not_ids_are_removed(spark, tricky, empty):
+    a, b = (" ".join(f"{x}{i}" for i in range(30)) for x in "ab")
+    rows = [(1, a), (5, a), (5, b), (7, b), (None, a + " z"), (None, "c d"), (None, "c d")]
+    docs = spark.createDataFrame([(d, t, "en", "a") for d, t in rows], SCHEMA)
+    kept = sorted((str(r["doc_id"]), r["text"]) for r in N.near_copy_filter(docs).collect())
+    assert kept == sorted([("1", a), ("5", b), ("None", "c d")])
+    assert N.near_copy_filter(tricky).columns == tricky.columns
+    assert N.near_copy_filter(empty).count() == 0
+
+
+@pytest.mark.parametrize("runs", [1, 3])
+def test_runs_of_a_bucket_meet(spark, runs, monkeypatch):
+    monkeypatch.setattr(N, "RUN", -(-40 // runs))
+    chooser = random.Random(1)
+    text = " ".join(f"w{i}" for i in range(200))
+    texts = [edited(text, 1 + i % 8, chooser) for i in range(40)]
+    rows = [(i, t, "en", "a") for i, t in enumerate(texts)]
+    kept = N.near_copy_filter(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted(min(g)[1] for g in expected_rows(rows).values())
+
+
+def test_links_are_exact():
+    chooser = random.Random(2)
+    sets = [N.shingles(t) for t in corpus() if t and t.split()]
+    chooser.shuffle(sets)
+    plain = [set(s.tolist()) for s in sets]
+    assert N.link(sets).tolist() == brute_roots(plain, lambda i, j: similar(plain[i], plain[j]))
