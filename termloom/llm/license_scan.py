@@ -53,13 +53,19 @@ def known_licenses(spark: SparkSession, texts: list[tuple[str, str]] = LICENSES)
 
 
 def license_digests(texts: DataFrame) -> DataFrame:
-    """``(digest, license_id, size)`` of ``(license_id, text)``, one row per digest; characters of the form."""
+    """``(digest, license_id, size, start)`` of ``(license_id, text)``, one row per digest: characters of the form,
+    and :func:`_start`."""
     rows = texts.select(canonical(F.col("text")).alias("form"), "license_id").where(F.col("form") != "  ")
     return rows.groupBy(F.sha2("form", 256).alias("digest")).agg(
-        F.min("license_id").alias("license_id"), F.min(F.length("form")).alias("size")
+        F.min("license_id").alias("license_id"), F.min(F.length("form")).alias("size"), F.min(_start(F.col("form"))).alias("start")
     )
 
 
+def _start(form: Column) -> Column:
+    """Length and first word of a form: lines in which they are those of no known text are not looked up."""
+    return F.concat(F.length(form).cast("string"), F.substring_index(form, " ", 2))
+
+
 def _join(rows: DataFrame, known: Dictionary, on: str, how: str) -> DataFrame:
     side = known.df.select(F.col("digest").alias(on), "license_id")
     return rows.join(F.broadcast(side), on, how) if known.fits() else salted_join(rows, side, on, how)
@@ -69,14 +75,14 @@ def scan(docs: DataFrame, known: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without its text, with ``text_digest``, ``license_id`` of the entire text, and ``notices``: the
     sorted ids, joined with commas, of licences that whole lines of the text name (null if none).
 
-    Only ids and digests are joined, never texts; lines as long as no known text are not looked up.
+    Only ids and digests are joined, never texts; lines with the length and first word of no known text are not looked up.
     """
     table = Dictionary(materialize(known, "licenses"))
-    sizes = [row["size"] for row in table.df.select("size").distinct().collect()] if table.fits() else None
+    starts = [row["start"] for row in table.df.select("start").distinct().collect()] if table.fits() else None
     others = [c for c in docs.columns if c != text]
     row, line, name = free_name(docs, "row"), free_name(docs, "line_digest"), free_name(docs, "text_digest")
     forms = F.transform(F.split(F.coalesce(column(text), F.lit("")), "\n"), canonical)
-    fitting = forms if sizes is None else F.filter(forms, lambda form: F.length(form).isin(sizes))
+    fitting = forms if starts is None else F.filter(forms, lambda form: _start(form).isin(starts))
     lines = F.array_compact(F.array_distinct(F.transform(fitting, _form_digest)))
     digests = materialize(
         docs.select(

@@ -1,4 +1,10 @@
-"""Texts of public licences, and one-line notices that name one."""
+"""Texts of public licences, and one-line notices that name one.
+
+Long texts are files in ``licenses``, named by id, as published. Notices are made from ids, names and usual wordings.
+"""
+
+import re
+from pathlib import Path
 
 _MIT_GRANT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and \
 associated documentation files (the "Software"), to deal in the Software without restriction, including without \
@@ -78,6 +84,110 @@ LICENSES = [
     ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
 ]
 
+# Names that notices give to a licence, beside its id.
+NAMES = {
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache License v2.0", "Apache License v2", "Apache 2.0 License", "Apache 2.0", "Apache 2 License"],
+    "MIT": ["MIT License", "MIT"],
+    "MIT-0": ["MIT No Attribution License"],
+    "ISC": ["ISC License"],
+    "0BSD": ["Zero-Clause BSD License", "BSD Zero Clause License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License", "FreeBSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "3-Clause BSD License", "New BSD License", "Modified BSD License", "Revised BSD License"],
+    "Zlib": ["zlib License"],
+    "BSL-1.0": ["Boost Software License, Version 1.0", "Boost Software License 1.0"],
+    "Unlicense": ["Unlicense"],
+    "WTFPL": ["WTFPL"],
+    "NCSA": ["University of Illinois/NCSA Open Source License"],
+    "OFL-1.1": ["SIL Open Font License, Version 1.1", "SIL Open Font License 1.1"],
+    "Artistic-1.0-Perl": [],
+    "Artistic-2.0": ["Artistic License 2.0"],
+    "CC0-1.0": ["CC0 1.0", "CC0", "CC0 1.0 Universal", "Creative Commons Zero v1.0 Universal", "Creative Commons CC0 1.0 Universal License"],
+}
+_VERSIONED = {
+    "GPL": (["GNU General Public License", "GNU GPL", "GPL"], ["1.0", "2.0", "3.0"]),
+    "LGPL": (["GNU Lesser General Public License", "GNU LGPL", "LGPL"], ["2.1", "3.0"]),
+    "AGPL": (["GNU Affero General Public License", "GNU AGPL", "AGPL"], ["3.0"]),
+    "GFDL": (["GNU Free Documentation License", "GNU FDL", "GFDL"], ["1.2", "1.3"]),
+    "MPL": (["Mozilla Public License", "MPL"], ["1.1", "2.0"]),
+    "EPL": (["Eclipse Public License", "EPL"], ["1.0", "2.0"]),
+}
+_COMMONS = {
+    "BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+_LATER = ["or later", "or any later version"]
+_VERBS = ["licensed", "released", "distributed"]
+_SUBJECTS = ["", "this work is ", "this project is ", "this software is "]
+
+
+def _names() -> dict[str, list[str]]:
+    found = {name: list(others) for name, others in NAMES.items()}
+    for family, (names, versions) in _VERSIONED.items():
+        for version in versions:
+            short = version.removesuffix(".0")
+            numbers = dict.fromkeys([version, short])
+            said = [f"{n}{of}{v}" for n in names for v in numbers for of in (", version ", " v", " ")]
+            said += [f"{n}{v}" for n in names[-1:] for v in numbers] + [f"{family}v{v}" for v in numbers]
+            key = f"{family}-{version}"
+            found[key] = said + ([f"{key}-only"] if "G" in family else [])
+            if "G" in family:
+                found[f"{key}-or-later"] = [f"{s}, {later}" for s in said for later in _LATER] + [f"{key}+"]
+    for code, name in _COMMONS.items():
+        for version in ("3.0", "4.0"):
+            place = "International" if version == "4.0" else "Unported"
+            said = [f"CC {code} {version}", f"Creative Commons {code} {version}", f"Creative Commons {name} {version}"]
+            found[f"CC-{code}-{version}"] = [f"{s}{p}" for s in said for p in ("", f" {place}")]
+    return found
+
+
+def notices() -> list[tuple[str, str]]:
+    """(id, sentence) for every licence, name and usual wording."""
+    rows = []
+    for key, names in _names().items():
+        tags = [key, *[n for n in names if n.startswith(key) and n != key and " " not in n]]
+        rows += [(key, f"SPDX-License-Identifier: {tag}") for tag in tags]
+        rows += [(key, f"License: {name}") for name in [key, *names]]
+        for name in dict.fromkeys([key, *names]):
+            for ending in ("",) if "license" in name.lower() else ("", " license"):
+                objects = [f"the {name}{ending}", f"{name}{ending}"]
+                objects += [f"a {name}{ending}"] if key.startswith("CC") else [f"the terms of the {name}{ending}"]
+                rows += [(key, f"{s}{verb} under {o}") for s in _SUBJECTS for verb in _VERBS for o in objects]
+    return rows
+
+
+# Lines that the canonical form drops are left out of long texts, as a text of other line lengths would drop more or less.
+_DROPPED = re.compile(r"(?im)^[ \t]*(copyright[ \t:]*(\(c\)|©|[0-9<{\[]|by )|\(c\)|©|all rights reserved)[^\n]*$")
+_LIST_END = re.compile(r"(?i)END OF TERMS AND CONDITIONS")
+
+
+def whole_texts() -> list[tuple[str, str]]:
+    """(id, text) of the files: as published, with a paragraph per line, and each of these up to its appendix."""
+    rows = []
+    for file in sorted((Path(__file__).parent / "licenses").glob("*.txt")):
+        text = file.read_text("utf-8")
+        flowing = "\n".join(" ".join(p.split()) for p in re.split(r"\n[ \t]*\n", text))
+        for form in (text, flowing):
+            end = _LIST_END.search(form)
+            cuts = [len(form), *([end.start(), end.end()] if end else [])]
+            # Marks are blanks in the canonical form; without them no other line break makes a copyright line of a "(c)".
+            rows += [(file.stem, re.sub(r"(?i)\((c)\)|©", r"\1", _DROPPED.sub("", form[:cut]))) for cut in cuts]
+    return rows
+
+
+def _plain(text: str) -> str:
+    return " ".join(re.findall(r"[^\W_]+", text.lower()))
+
+
+def _distinct(rows: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """The first row of those that differ in case, marks and white space only."""
+    found: dict[str, tuple[str, str]] = {}
+    for key, text in rows:
+        found.setdefault(_plain(text), (key, text))
+    return list(found.values())
+
+
+LICENSES = _distinct([*LICENSES, *whole_texts(), *notices()])
+
 # What is replaced in canonical texts, in this order; blanks are word ends.
 SPELLINGS = [
     ("licence", "license"),
