@@ -68,7 +68,14 @@ def encode_chunk(vocab: Vocabulary, body: str, last: bool, chunk: int = CHUNK) -
     head = places[places < OVERLAP]
     stop = int(places[len(head)]) if len(head) < len(places) else end
     parts = [vocab.encode(body[a:b]) for a, b in zip(head, [*head[1:], stop])]
-    ids = np.concatenate([*parts, vocab.encode(body[stop:end])])
+    # White space looks at what follows it: the text is cut behind other characters only, the pieces from there on
+    # are encoded one by one.
+    bounds = [*places[len(head) :].tolist(), end]
+    cut = len(bounds) - 1
+    while cut > 0 and not last and body[bounds[cut] - 1].isspace():
+        cut -= 1
+    rest = [vocab.encode(body[a:b]) for a, b in zip(bounds[cut:], bounds[cut + 1 :])]
+    ids = np.concatenate([*parts, vocab.encode(body[stop : max(stop, bounds[cut])]), *rest])
     counts = np.array([len(p) for p in parts], np.int64)
     return {"ids": ids.tobytes(), "starts": head.tobytes(), "tokens": counts.tobytes(), "hands_over": hands_over}
 

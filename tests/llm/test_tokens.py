@@ -83,6 +83,23 @@ def test_chunks_agree_with_whole_texts(overlap, monkeypatch):
     assert whole < 400
 
 
+@pytest.mark.parametrize("overlap", [6, 40])
+def test_chunks_cut_in_unicode_white_space(overlap, monkeypatch):
+    monkeypatch.setattr(bpe_chunks, "OVERLAP", overlap)
+    vocab, chooser = bpe.vocabulary(RANKS), random.Random(7)
+    texts = ["x" * 20 + "foo \u00a0bar" + " b" * 40]
+    texts += ["".join(chooser.choice(" \n\u00a0\u2009\u2028ab1") for _ in range(chooser.randint(1, 300))) for _ in range(600)]
+    compared = 0
+    for k, text in enumerate(texts):
+        size = 25 + overlap if k else 25
+        n = max(1, -(-len(text) // size))
+        parts = [bpe_chunks.encode_chunk(vocab, text[i * size : (i + 1) * size + overlap], i == n - 1, size) for i in range(n)]
+        if all(p["hands_over"] is not None for p in parts):
+            compared += 1
+            assert bpe_chunks.stitch(parts).tolist() == vocab.encode(text).tolist(), repr(text)
+    assert compared > 300
+
+
 @pytest.mark.parametrize("chunk", [600, 5000, bpe_chunks.CHUNK])
 def test_documents_in_chunks(chunk, tricky, rank_library):
     rows = bpe_chunks.encode_documents(tricky, RANKS, chunk=chunk)
