@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from termloom.llm.common import column, free_name, without_ids
+from termloom.llm.common import column, first_of_each, free_name, numbered
 from termloom.llm.workers import tidy
 from termloom.operators.lookup import salted_join
 from termloom.session import materialize
@@ -359,20 +359,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
 
 
 def near_duplicate_filter(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The document with the smallest id of each component, columns as in ``docs``.
-
-    Rows that repeat an id are one document; they go together, and of one that stays the least row by all
-    columns is kept.
-    """
-    found = near_duplicates(docs, text, doc_id)
-    named = found.where(F.col("doc_id").isNotNull())
-    gone = named.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(doc_id)).distinct()
-    kept = without_ids(docs, gone, doc_id)
-    repeated = named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias(doc_id))
-    repeated = materialize(repeated, "repeated")
-    if repeated.isEmpty():
-        return kept
-    once = without_ids(kept, repeated, doc_id)
-    again = kept.join(repeated, doc_id, "left_semi").select(*map(column, docs.columns))
-    first = again.groupBy(column(doc_id)).agg(F.min(F.struct(*map(column, docs.columns))).alias("row"))
-    return once.unionByName(first.select("row.*"))
+    """One row of each component, columns as in ``docs``: the one with the smallest id, null ids last, and of equal
+    ids the first as numbered. Rows that repeat an id stay or go each by its own text."""
+    row = free_name(docs, "row")
+    rows = numbered(docs, row)
+    found = near_duplicates(rows, text, row).select(F.col("doc_id").alias("row"), F.col("component_id").alias("group"))
+    ids = rows.select(column(row).alias("row"), column(doc_id).alias("id"))
+    least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("least")
+    kept = found.join(ids, "row").groupBy("group").agg(least)
+    return first_of_each(docs, rows, row, kept.select(F.col("least.row").alias("row")))

@@ -83,3 +83,13 @@ def test_links_are_exact():
     chooser.shuffle(sets)
     plain = [set(s.tolist()) for s in sets]
     assert N.link(sets).tolist() == brute_roots(plain, lambda i, j: similar(plain[i], plain[j]))
+
+
+def test_simhash_filter_removes_rows_not_ids(spark):
+    from termloom.llm import simhash
+
+    a, b = (" ".join(f"{x}{i}" for i in range(30)) for x in "ab")
+    rows = [(1, a), (5, a), (5, b), (7, b), (None, "c d"), (None, "c d")]
+    docs = spark.createDataFrame([(d, t, "en", "a") for d, t in rows], SCHEMA)
+    kept = sorted((str(r["doc_id"]), r["text"]) for r in simhash.near_duplicate_filter(docs).collect())
+    assert kept == sorted([("1", a), ("5", b), ("None", "c d")])
