@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from termloom.llm import language_id, near_copies, packing, quality_rules
+from termloom.llm import language_id, packing, quality_rules, simhash
 from termloom.llm.common import table
 from termloom.session import materialize
 
@@ -29,8 +29,8 @@ def sound_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies: five-word shingles, 0.8 of them shared."""
-    return near_copies.near_copy_filter(docs)
+    """The document with the smallest id of each group that SimHash links: four-word shingles, four bits at most."""
+    return simhash.near_duplicate_filter(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
