@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from termloom.llm import license_scan as L
+from termloom.llm import line_dedup as D
 from termloom.llm import quality_rules as Q
 from termloom.llm.license_texts import LICENSES, SPELLINGS
 
@@ -120,3 +121,16 @@ found AS (SELECT doc_id, array_to_string(list_sort(list_distinct(list(license_id
 d AS (SELECT doc_id, {_digest("text")} AS text_digest FROM documents)
 SELECT d.doc_id, text_digest, license_id, notices
 FROM d LEFT JOIN known ON text_digest = digest LEFT JOIN found ON d.doc_id = found.doc_id"""
+
+_ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_KEY = _ASCII_LOWER.format(r"regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')")
+
+ORACLES["op12_line_dedup"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT r, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS place FROM d),
+k AS (SELECT *, {_KEY} AS key FROM l),
+f AS (SELECT key FROM k WHERE length(key) >= {D.MIN_CHARS} GROUP BY key HAVING count(DISTINCT r) >= {D.MIN_DOCS}),
+j AS (SELECT k.*, f.key IS NOT NULL AS gone FROM k LEFT JOIN f ON k.key = f.key)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM j GROUP BY r, doc_id"""
