@@ -5,6 +5,7 @@ from __future__ import annotations
 from termloom.llm import license_scan as L
 from termloom.llm import line_dedup as D
 from termloom.llm import quality_rules as Q
+from termloom.llm import spelling_variants as V
 from termloom.llm.license_texts import LICENSES, SPELLINGS
 
 ORACLES: dict[str, str] = {}
@@ -134,3 +135,40 @@ j AS (SELECT k.*, f.key IS NOT NULL AS gone FROM k LEFT JOIN f ON k.key = f.key)
 SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM j GROUP BY r, doc_id"""
+
+
+def _crc_table() -> list[int]:
+    """Entries of the byte-wise form of CRC-32 with the reflected polynomial EDB88320."""
+    entries = list(range(256))
+    for _ in range(8):
+        entries = [(e >> 1) ^ (0xEDB88320 if e & 1 else 0) for e in entries]
+    return entries
+
+
+# Ids are ASCII digits and letters end at U+00FF, so a character has one byte or two.
+_BYTES = """flatten(list_transform(string_split({}, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT]
+  ELSE [192 | (unicode(c)::BIGINT >> 6), 128 | (unicode(c)::BIGINT & 63)] END))"""
+_CRC = f"""xor(list_reduce(list_prepend(4294967295::BIGINT, {_BYTES}),
+  lambda x, y: xor(x >> 8, t[(xor(x, y) & 255) + 1])), 4294967295::BIGINT)"""
+_RUN = V.LETTERS.replace("\u00c0", r"\x{C0}").replace("\u00ff", r"\x{FF}")
+
+ORACLES["op13_spelling_variants"] = f"""
+WITH RECURSIVE c AS (SELECT {_crc_table()}::BIGINT[] AS t),
+r AS (SELECT doc_id, {_ASCII_LOWER.format("run")} AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[{_RUN}]+')) AS run FROM documents)
+  WHERE length(run) >= {V.MIN_LENGTH} GROUP BY ALL),
+h AS (SELECT run, n, {_CRC.format("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h FROM r, c),
+w AS (SELECT CASE WHEN h % {V.DAMAGE} = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word,
+  sum(n)::BIGINT AS n FROM h GROUP BY 1 HAVING length(word) >= {V.MIN_LENGTH} AND sum(n) >= {V.MIN_COUNT}),
+holes AS (SELECT word, n, unnest(range(length(word))) AS i FROM w),
+p AS (SELECT word, n, left(word, i::INT) || '_' || substr(word, i::INT + 2) AS replaced, left(word, i::INT) || substr(word, i::INT + 2) AS less FROM holes),
+e AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM p a JOIN p b USING (replaced) WHERE a.word <> b.word
+  UNION SELECT p.word, w.word, w.n FROM p JOIN w ON p.less = w.word
+  UNION SELECT w.word, p.word, p.n FROM p JOIN w ON p.less = w.word),
+b AS (SELECT word, count(*)::BIGINT AS n_near, arg_min(other, (-other_n, other)) AS best, max(other_n) AS best_n FROM e GROUP BY word),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= {V.FACTOR} * n THEN best END AS form,
+  CASE WHEN best_n >= {V.FACTOR} * n THEN best_n END AS form_n FROM w LEFT JOIN b USING (word)),
+way AS (SELECT word, word AS root, form AS next FROM f
+  UNION ALL SELECT way.word, f.word, f.form FROM way JOIN f ON way.next = f.word)
+SELECT f.word, f.form, way.root, f.n, f.n_near, f.form_n FROM f JOIN way ON f.word = way.word AND way.next IS NULL"""

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import bpe_chunks, chat, language_id, license_scan, line_dedup, packing, quality_rules, simhash, token_store, topk_search, warc
+from termloom.llm import bpe_chunks, chat, language_id, license_scan, line_dedup, packing, quality_rules, simhash, spelling_variants, token_store, topk_search, warc
 from termloom.llm.common import table
 from termloom.session import materialize
 
@@ -106,3 +106,9 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.drop_common_lines(docs)
     digest = F.sha2(F.col("lines.kept"), 256).alias("kept_sha256")
     return found.select("doc_id", "lines.n_lines", "lines.n_dropped", digest)
+
+
+@_query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling_variants.spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
