@@ -337,7 +337,7 @@ def _line_counts(docs: DataFrame, text: str, min_chars: int) -> DataFrame:
             for each in batch["text"]:
                 found.update(set(line_digests(each, min_chars)))
             found.pop(_NO_KEY, None)
-            yield pd.DataFrame({"key": list(found), "n": list(found.values())})
+            yield pd.DataFrame({"key": pd.Series(list(found), dtype=object), "n": pd.Series(list(found.values()), dtype="int64")})
 
     texts = docs.select(F.coalesce(column(text), F.lit("")).alias("text"))
     return texts.mapInPandas(count, _REFS)
@@ -362,7 +362,7 @@ def _cut(texts: list[str], drops: list[np.ndarray]) -> pd.DataFrame:
         for t, drop in zip(texts, drops, strict=True)
     ]
     counts = {"n_lines": [len(d) for d in drops], "n_dropped": [int(d.sum()) for d in drops]}
-    return pd.DataFrame({**counts, "kept": kept})
+    return pd.DataFrame({**counts, "kept": pd.Series(kept, dtype=object)})
 
 
 def _cut_where(shared, min_chars: int):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from termloom.llm import license_scan as L
 from termloom.llm import line_dedup as D
 from termloom.llm import quality_rules as Q
+from termloom.llm import source_divergence as S
 from termloom.llm import spelling_variants as V
 from termloom.llm.license_texts import LICENSES, SPELLINGS
 
@@ -172,3 +173,31 @@ f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= {V.
 way AS (SELECT word, word AS root, form AS next FROM f
   UNION ALL SELECT way.word, f.word, f.form FROM way JOIN f ON way.next = f.word)
 SELECT f.word, f.form, way.root, f.n, f.n_near, f.form_n FROM f JOIN way ON f.word = way.word AND way.next IS NULL"""
+
+
+def _share(n: str, total: str) -> str:
+    return f"(1 + ({S.SCALE}::HUGEINT * ({n} + {S.ADDED})) // ({total} + {S.ADDED} * v))::BIGINT"
+
+
+_TEXT = _ASCII_LOWER.format("coalesce(text, '')")
+
+ORACLES["op11_source_divergence"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all({_TEXT}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+t AS (SELECT r, lang, source, unnest(terms) AS term FROM d),
+k AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= {S.MIN_DOCS}),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n FROM g JOIN k ON g.lang = k.lang
+  LEFT JOIN (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL) x
+    ON x.lang = g.lang AND x.source = g.source AND x.term = k.term),
+p AS (SELECT lang, source, term, n, {_share("n", "sum(n) OVER (PARTITION BY lang, source)")} AS p FROM c JOIN v USING (lang)),
+w AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY lang, term),
+q AS (SELECT lang, term, {_share("n", "sum(n) OVER (PARTITION BY lang)")} AS q FROM w JOIN v USING (lang)),
+pair AS (SELECT a.lang, a.source, b.source AS item FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source),
+far AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p))::BIGINT AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+parts AS (SELECT lang, source, 'pair' AS part, item, coalesce(value, 0) AS value FROM pair LEFT JOIN far USING (lang, source, item)
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM parts)
+WHERE part = 'pair' OR rank <= {S.TOP}"""

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import bpe_chunks, chat, language_id, license_scan, line_dedup, packing, quality_rules, simhash, spelling_variants, token_store, topk_search, warc
+from termloom.llm import bpe_chunks, chat, language_id, license_scan, line_dedup, packing, quality_rules, simhash, source_divergence, spelling_variants, token_store, topk_search, warc
 from termloom.llm.common import table
 from termloom.session import materialize
 
@@ -112,3 +112,8 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = spelling_variants.spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@_query
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.source_divergence(table(spark, sf_dir, "documents").select("text", "lang", "source"))
