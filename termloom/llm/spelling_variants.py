@@ -72,7 +72,7 @@ def text_words(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_
                 for run, n in Counter(runs.findall(lowered)).items():
                     found[damaged(run, start)] += n
             kept = {w: n for w, n in found.items() if len(w) >= min_length}
-            yield pd.DataFrame({"word": list(kept), "n": list(kept.values())})
+            yield pd.DataFrame({"word": pd.Series(list(kept), dtype=object), "n": pd.Series(list(kept.values()), dtype="int64")})
 
     texts = docs.select(
         F.coalesce(column(doc_id).cast("string"), F.lit("")).alias("id"),
@@ -110,8 +110,10 @@ def _rotations(words: DataFrame) -> DataFrame:
 def neighbours(words: DataFrame) -> DataFrame:
     """``(word, n_near, best)`` of every word of unique ``words (word, n)`` that has a neighbour; ``best`` is a
     struct of the neighbour's negative count and itself, so that the least one is best."""
+    # As many tasks as there are shuffle partitions: a word makes two rotations per letter, so few rows make many.
+    dealt = words.repartition(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), "word")
     same = Window.partitionBy("prefix")
-    met = _rotations(words).withColumn("met", F.count(F.lit(1)).over(same)).where("met > 1")
+    met = _rotations(dealt).withColumn("met", F.count(F.lit(1)).over(same)).where("met > 1")
     # Dealt and sorted by prefix already; a group has one entry per letter of the alphabet and its head.
     entry = F.struct((-F.col("n")).alias("rank"), "word", "head", "counts")
     groups = met.groupBy("prefix").agg(F.sort_array(F.collect_list(entry)).alias("group"))
