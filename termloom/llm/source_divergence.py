@@ -2,8 +2,8 @@
 
 Each language keeps the terms that stand in ``min_docs`` of its documents. They are sorted by UTF-8 bytes and
 numbered, and every run of ``SHARD_TERMS`` numbers becomes a minimal acyclic transducer (see :mod:`transducer`) that
-knows its first number. Texts are then streamed through the transducers of their language, which gives the number of
-each kept term without a lookup of strings; counts per (language, source, number) are what is shuffled.
+knows its first number. The words of all texts are then streamed through the transducers of their language, equal ones of
+a portion together, which gives the number of each kept term; counts per (language, source, number) are shuffled.
 
 A group gives a term with ``count`` occurrences ``p = 1 + floor(SCALE * (count + ADDED) / (N + ADDED * V))``: whole
 numbers, so nothing depends on the order of sums. Part ``pair`` sums ``|p - q|`` over all kept terms for every two sources
@@ -21,6 +21,7 @@ beside those named are not read.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -40,19 +41,54 @@ from termloom.sources.dictionary import dense_ids
 MIN_DOCS = 30
 TOP = 50
 SCALE, ADDED = 1_000_000_000, 5
-SHARD_TERMS = 1 << 18
+SHARD_TERMS = 1 << 12
 SOURCES, TERMS = 128, 1 << 12
-# Texts are streamed in portions of so many bytes.
-PORTION = 1 << 21
+# Long texts are taken apart in pieces of so many bytes; a task gives out its counts at so many entries.
+PIECE, ENTRIES = 1 << 20, 1 << 19
 
 # Of lower-cased UTF-8: runs of a-z and of all bytes beyond ASCII.
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
-_IS_TERM = np.zeros(256, bool)
-_IS_TERM[ord("a") : ord("z") + 1] = _IS_TERM[0x80:] = True
+_OTHER = re.compile(rb"[^a-z\x80-\xff]")
 
 
-def _lowered(text: str) -> bytes:
-    return text.encode("utf-8", "replace").lower()  # bytes: A-Z only
+def _terms(text: str) -> Iterator[list[bytes]]:
+    """The terms of a text in lower case, piece by piece."""
+    lowered = text.encode("utf-8", "replace").lower()  # bytes: A-Z only
+    at = 0
+    while at < len(lowered):
+        gap = _OTHER.search(lowered, at + PIECE)
+        end = gap.start() if gap else len(lowered)
+        yield _TERM.findall(lowered, at, end)
+        at = end
+
+
+def _flushed(batches: Iterator[pd.DataFrame], add, key) -> Iterator[dict]:
+    """Counters per ``key`` of rows, filled by ``add`` over many rows and given out before they grow large."""
+    found: dict = defaultdict(Counter)
+    entries = 0
+    for batch in batches:
+        for *names, text in batch.itertuples(index=False, name=None):
+            counter = found[key(*names)]
+            entries -= len(counter)
+            add(counter, text)
+            entries += len(counter)
+            if entries >= ENTRIES:
+                yield found
+                found, entries = defaultdict(Counter), 0
+    if entries:
+        yield found
+
+
+def _add_distinct(counter: Counter, text: str) -> None:
+    once: set[bytes] = set()
+    for terms in _terms(text):
+        once.update(terms)
+    counter.update(once)
+
+
+def _add_all(counter: Counter, text: str) -> None:
+    for terms in _terms(text):
+        counter.update(terms)
 
 
 def _read(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
@@ -68,10 +104,7 @@ def kept_terms(texts: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 
     @tidy
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found: dict[str, Counter] = defaultdict(Counter)
-            for lang, text in zip(batch["lang"], batch["text"]):
-                found[lang].update(set(_TERM.findall(_lowered(text))))
+        for found in _flushed(batches, _add_distinct, lambda lang: lang):
             for lang, terms in found.items():
                 words = pd.Series([t.decode() for t in terms], dtype=object)
                 yield pd.DataFrame({"lang": lang, "term": words, "n": list(terms.values())})
@@ -127,64 +160,58 @@ class Vocabulary:
         context, schema = texts.sparkSession.sparkContext, "lang string, source string, ordinal bigint, n bigint"
         counted = None
         for some in self._slices(limit):
-            part = texts.mapInPandas(_counter(context.broadcast(some)), schema)
+            part = texts.select("lang", "source", "text").mapInPandas(_counter(context.broadcast(some)), schema)
             counted = part if counted is None else counted.union(part)
         if counted is None:
             counted = texts.sparkSession.createDataFrame([], schema)
         return counted.groupBy("lang", "source", "ordinal").agg(F.sum("n").alias("n"))
 
 
-def _portions(texts: list[str]) -> Iterator[tuple[int, list[bytes]]]:
-    """Lower-cased texts, and where they begin in the list."""
-    first, held, size = 0, [], 0
-    for text in texts:
-        held.append(_lowered(text))
-        size += len(held[-1])
-        if size >= PORTION:
-            yield first, held
-            first, held, size = first + len(held), [], 0
-    if held:
-        yield first, held
-
-
 def _counter(shared):
-    """A task function that counts numbers of terms per language and source."""
+    """A task function that counts numbers of terms per language and source.
+
+    Equal terms of a portion of the texts go through the transducers together, as one with their number.
+    """
 
     @tidy
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sent = shared.value
         stepper = Stepper([Transducer.from_bytes(t) for *_, t in sent])
-        own: dict[str, list[int]] = defaultdict(list)
-        for at, (lang, *_) in enumerate(sent):
-            own[lang].append(at)
-        base = np.array([b for _, b, _ in sent], np.int64)
-        most = max(map(len, own.values()), default=0)
-        for batch in batches:
-            group, names = pd.factorize(pd.MultiIndex.from_arrays([batch["lang"], batch["source"]]))
-            totals: Counter[tuple[int, int]] = Counter()
-            for first, portion in _portions(batch["text"].tolist()):
-                data = np.frombuffer(b"\0".join(portion) + b"\0", np.uint8)
-                inside = _IS_TERM[data]
-                edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-                start, length = edges[::2], edges[1::2] - edges[::2]
-                ends = np.cumsum([len(t) + 1 for t in portion])
-                owner = group[first + np.searchsorted(ends, start, side="right")]
-                for nth in range(most):
-                    shard = np.array([own[lang][nth] if len(own.get(lang, ())) > nth else -1 for lang, _ in names])[owner]
-                    there = shard >= 0
-                    rank = stepper.ranks(data, start[there], length[there], stepper.roots[shard[there]])
-                    hit = rank >= 0
-                    pairs = np.stack([owner[there][hit], base[shard[there][hit]] + rank[hit]])
-                    values, counts = np.unique(pairs, axis=1, return_counts=True)
-                    for g, ordinal, n in zip(*values.tolist(), counts.tolist()):
-                        totals[g, ordinal] += n
-            if totals:
-                rows = [(*names[g], ordinal, n) for (g, ordinal), n in totals.items()]
-                yield pd.DataFrame(rows, columns=["lang", "source", "ordinal", "n"])
+        own: dict[str, list[tuple[int, int, bytes]]] = defaultdict(list)
+        for (lang, base, stored), root in zip(sent, stepper.roots):
+            own[lang].append((base, root, Transducer.from_bytes(stored).word(0)))
+        for found in _flushed(batches, _add_all, lambda lang, source: (lang, source)):
+            by_lang: dict[str, set[bytes]] = defaultdict(set)
+            for (lang, _), counter in found.items():
+                if lang in own:
+                    by_lang[lang].update(counter)
+            ordinals = {lang: _ordinals(stepper, own[lang], list(words)) for lang, words in by_lang.items()}
+            rows = [
+                (lang, source, known[t], n)
+                for (lang, source), counter in found.items()
+                if (known := ordinals.get(lang))
+                for t, n in counter.items()
+                if t in known
+            ]
+            yield pd.DataFrame(rows, columns=["lang", "source", "ordinal", "n"])
 
     return count
 
 
+def _ordinals(stepper: Stepper, shards: list[tuple[int, int, bytes]], words: list[bytes]) -> dict[bytes, int]:
+    """Numbers of those words that are known to one of the shards ``(first number, root, first word)``, in order."""
+    words.sort()
+    data = np.frombuffer(b"".join(words) + b"\0", np.uint8)
+    length = np.array([len(w) for w in words], np.int64)
+    start = np.cumsum(length) - length
+    bounds = [bisect_left(words, first) for *_, first in shards] + [len(words)]
+    found = {}
+    for (base, root, _), low, high in zip(shards, bounds, bounds[1:]):
+        ranks = stepper.ranks(data, start[low:high], length[low:high], np.full(high - low, root))
+        found.update((words[low + at], base + int(ranks[at])) for at in np.flatnonzero(ranks >= 0))
+    return found
+
+
 # --- shares and distances ---------------------------------------------------------------------------------
 
 

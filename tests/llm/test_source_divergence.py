@@ -105,3 +105,10 @@ def test_tricky_and_empty(spark, tricky, empty):
     rows = [(r["text"], r["lang"], r["source"]) for r in tricky.collect()]
     assert got(S.source_divergence(tricky, min_docs=2)) == brute(rows, 2)
     assert S.source_divergence(empty).count() == 0
+
+
+def test_pieces_of_long_texts_hold_whole_terms(monkeypatch):
+    monkeypatch.setattr(S, "PIECE", 5)
+    text = "Ab cde-fghijklmno pé漢 x" * 3 + "y" * 50
+    whole = re.findall("[^\x00-\x40\x5b-\x60\x7b-\x7f]+", text)
+    assert [t.decode() for piece in S._terms(text) for t in piece] == ["".join(c.lower() if c.isascii() else c for c in t) for t in whole]
