@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from termloom.functions.sums import exact_sum
 from termloom.functions.text import class_of
 from termloom.operators.lookup import Dictionary, as_dictionary, lookup
 from termloom.operators.tokens import decode_terms
@@ -12,9 +13,6 @@ from termloom.session import materialize
 
 TOP_TERMS = 10
 TOP_PER_CLASS = 5
-# Averages that agree in so many significant digits are a tie: the order in which Spark adds doubles is not
-# fixed, so their last bits cannot decide a rank.
-TIE_DIGITS = 12
 
 
 def top_terms(totals: DataFrame, terms: Dictionary | DataFrame, k: int = TOP_TERMS) -> DataFrame:
@@ -42,13 +40,16 @@ def class_sizes(docs: DataFrame) -> DataFrame:
 
 
 def sum_tfidf_by_class(weights: DataFrame, docs: Dictionary | DataFrame) -> DataFrame:
-    """``(class, term_id, sum_tfidf)``; weights of unknown documents are dropped."""
+    """``(class, term_id, sum_tfidf)``; weights of unknown documents are dropped.
+
+    Sums are exact before they are rounded, so they, and ranks by them, are the same however rows are dealt.
+    """
     docs = as_dictionary(docs)
     classes = doc_classes(docs.df)
     # Beyond the broadcast limit both sides meet on doc_id, where a document has at most one row per
     # dictionary term and where the weights are partitioned already.
     labelled = weights.join(F.broadcast(classes) if docs.fits() else classes, "doc_id")
-    return labelled.groupBy("class", "term_id").agg(F.sum("tfidf").alias("sum_tfidf"))
+    return labelled.groupBy("class", "term_id").agg(exact_sum(F.col("tfidf")).alias("sum_tfidf"))
 
 
 def avg_tfidf_by_class(
@@ -70,10 +71,9 @@ def top_terms_by_class(averages: DataFrame, k: int = TOP_PER_CLASS) -> DataFrame
     """``(class, rk, term, avg_tfidf)``: the ``k`` largest averages of each class, best first.
 
     The rank limit is applied inside each task before the shuffle, so a class of any size sends at most
-    ``k`` rows per task to its window.
+    ``k`` rows per task to its window. Equal averages are ordered by term.
     """
-    significant = F.format_string(f"%.{TIE_DIGITS - 1}e", "avg_tfidf").cast("double")
-    order = Window.partitionBy("class").orderBy(F.desc(significant), "term")
+    order = Window.partitionBy("class").orderBy(F.desc("avg_tfidf"), "term")
     return (
         averages.withColumn("rk", F.row_number().over(order))
         .where(F.col("rk") <= k)
