@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions.text import TERM_CHARS, clean_text, split_tokens
-from termloom.operators.lookup import Dictionary, as_dictionary, lookup, spread
+from termloom.operators.lookup import Dictionary, as_dictionary, lookup, lookup_texts, spread
 
 
 def _explode(texts: DataFrame, text: str, tokens: Column, name: str, partitions: int, place: str | None) -> DataFrame:
@@ -69,8 +69,8 @@ def out_of_vocabulary(tokens: DataFrame, terms: Dictionary | DataFrame, slice_by
 
 
 def known_documents(corpus: DataFrame, docs: Dictionary | DataFrame, doc_key: str = "doc_name") -> DataFrame:
-    """Corpus rows whose document is in the document dictionary."""
-    return lookup(corpus, docs, doc_key, "left_semi")
+    """Corpus rows whose document is in the document dictionary; texts stay where they are."""
+    return lookup_texts(corpus, docs, doc_key, "left_semi")
 
 
 def encode_terms(tokens: DataFrame, terms: Dictionary | DataFrame, slice_by: str | None = None) -> DataFrame:
@@ -81,8 +81,11 @@ def encode_terms(tokens: DataFrame, terms: Dictionary | DataFrame, slice_by: str
 def encode_documents(
     rows: DataFrame, docs: Dictionary | DataFrame, doc_key: str = "doc_name"
 ) -> DataFrame:
-    """``doc_id`` added by document name (or another unique key); unknown documents dropped."""
-    return lookup(rows, as_dictionary(docs).select(doc_key, "doc_id"), doc_key)
+    """``doc_id`` added by document name (or another unique key); unknown documents dropped.
+
+    Texts stay where they are unless the known documents alone are beyond the broadcast limit.
+    """
+    return lookup_texts(rows, as_dictionary(docs).select(doc_key, "doc_id"), doc_key)
 
 
 def decode_terms(rows: DataFrame, terms: Dictionary | DataFrame) -> DataFrame:
