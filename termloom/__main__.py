@@ -32,7 +32,7 @@ from termloom.session import Scratch, get_session
 from termloom.sinks.text import write_matrix, write_rows
 from termloom.sources.corpus import count_corpus_files
 from termloom.sources.dictionary import load_doc_dictionary, load_term_dictionary
-from termloom.sources.triples import COUNTS, parse_lenient, read_counts, read_lines, read_weights
+from termloom.sources.triples import COUNTS, WEIGHTS, parse_once, read_lines
 
 
 def _statistics(spark: SparkSession, args) -> TermStatistics:
@@ -43,13 +43,13 @@ def _statistics(spark: SparkSession, args) -> TermStatistics:
     return TermStatistics.from_files(spark, args.corpus, args.terms, args.docs, args.stopwords, **options)
 
 
-def _good(spark: SparkSession, read: tuple[DataFrame, DataFrame], args) -> DataFrame:
-    """The rows of a text; its other lines are written beside the output and counted."""
-    rows, rejects = read
-    path = args.out.rstrip("/") + ".rejects"
-    rejects.write.text(path)
-    print(f"{spark.read.text(path).count()} lines rejected, see {path}")
-    return rows
+def _good(spark: SparkSession, path: str, schema: dict[str, str], strict: bool, args) -> DataFrame:
+    """The rows of a text; its other lines are written beside the output and counted. The text is read once."""
+    parsed = parse_once(read_lines(spark, path), schema, strict)
+    rejects = args.out.rstrip("/") + ".rejects"
+    parsed.rejects.write.text(rejects)
+    print(f"{parsed.n_rows} rows read, {parsed.n_rejects} lines rejected, see {rejects}")
+    return parsed.rows
 
 
 def term_frequency(spark, args):
@@ -65,22 +65,22 @@ def per_document(spark, args):
 
 
 def low_frequency(spark, args):
-    matrix = _good(spark, read_counts(spark, args.matrix), args)
+    matrix = _good(spark, args.matrix, COUNTS, True, args)
     write_matrix(C.low_frequency_filter(matrix, args.min_total), args.out, args.ordered)
 
 
 def totals(spark, args):
-    write_rows(C.term_totals(_good(spark, read_counts(spark, args.matrix), args)), args.out)
+    write_rows(C.term_totals(_good(spark, args.matrix, COUNTS, True, args)), args.out)
 
 
 def top_frequency(spark, args):
-    totals = C.term_totals(_good(spark, read_counts(spark, args.matrix), args))
+    totals = C.term_totals(_good(spark, args.matrix, COUNTS, True, args))
     top = L.top_terms(totals, load_term_dictionary(spark, args.terms, args.broadcast_limit), args.top)
     write_rows(top.select("term", "frequency"), args.out)
 
 
 def _foreign(spark, args) -> DataFrame:
-    return C.dedupe_triples(_good(spark, parse_lenient(read_lines(spark, args.matrix), COUNTS), args))
+    return C.dedupe_triples(_good(spark, args.matrix, COUNTS, False, args))
 
 
 def tf(spark, args):
@@ -96,7 +96,7 @@ def tfidf(spark, args):
 def _averages(spark, args) -> DataFrame:
     limit = args.broadcast_limit
     terms, docs = load_term_dictionary(spark, args.terms, limit), load_doc_dictionary(spark, args.docs, limit)
-    return L.avg_tfidf_by_class(_good(spark, read_weights(spark, args.weights), args), docs, terms)
+    return L.avg_tfidf_by_class(_good(spark, args.weights, WEIGHTS, False, args), docs, terms)
 
 
 def class_averages(spark, args):

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.functions.text import doc_name_of, file_of, folder_of, listed_name_of, path_text
+from termloom.session import materialize
+from termloom.sources.listing import manifest
 
 
 def _files(root: str) -> str:
@@ -43,22 +45,10 @@ def inventory(paths: DataFrame, path: str = "path") -> DataFrame:
 
 
 def corpus_inventory(spark: SparkSession, root: str) -> DataFrame:
-    """:func:`inventory` of a corpus folder, files of zero length included.
-
-    A file scan shows no empty file, so the paths are those of the file index that it keeps; they go from there
-    into a table without passing through Python.
-    """
-    jvm = spark.sparkContext._jvm
-    files = jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(spark.read.text(_files(root))._jdf.inputFiles())
-    paths = spark._jsparkSession.createDataset(files, jvm.org.apache.spark.sql.Encoders.STRING()).toDF()
-    return inventory(DataFrame(paths, spark).select(path_text(F.col("value")).alias("path")))
+    """:func:`inventory` of a corpus folder, files of zero length, which a scan does not show, included."""
+    return inventory(manifest(spark, root))
 
 
 def count_corpus_files(spark: SparkSession, root: str) -> DataFrame:
-    """``(n_docs)``, one row: files of all class folders, empty ones included.
-
-    The number comes from the file index the scan keeps anyway: no file is opened and no name leaves the
-    JVM, only the length of the list.
-    """
-    n_files = len(spark.read.text(_files(root))._jdf.inputFiles())
-    return spark.range(1).select(F.lit(n_files).cast("bigint").alias("n_docs"))
+    """``(n_docs)``, one row: files of all class folders, empty ones included; listed once, when this is called."""
+    return materialize(manifest(spark, root).agg(F.count(F.lit(1)).alias("n_docs")), "n_docs")
