@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions.text import TERM_CHARS
-from termloom.operators.lookup import Dictionary, as_dictionary, salted_join, spread
+from termloom.operators.lookup import HEAVY_ITEMS, Dictionary, as_dictionary, frequent_items, salted_join, spread
 from termloom.operators.tokens import clean_tokens, remove_stopwords, vocabulary
 from termloom.session import materialize
 
@@ -141,6 +141,53 @@ def corpus_term_totals(
     return words.join(_entries(vocab, "term", "term_id"), "term").select("term_id", "total")
 
 
+def top_term_totals(
+    corpus: DataFrame,
+    terms: Dictionary | DataFrame,
+    docs: Dictionary | DataFrame,
+    stopwords: DataFrame | None = None,
+    k: int = 10,
+    *,
+    items: int = HEAVY_ITEMS,
+    doc_key: str = "doc_name",
+    text: str = "text",
+    keep: str = TERM_CHARS,
+    lowercase: bool = False,
+    partitions: int = 0,
+) -> DataFrame | None:
+    """``(term_id, total)`` of all terms that can be among the ``k`` most frequent, totals exact; or None.
+
+    A first look makes one summary of frequent words per task, which merge: of N words in all, each number in it is
+    wrong by ``SUMMARY_ERROR * N / items`` at most, and a word that it lacks has no more than twice that. The words in
+    it meet the dictionary; the k-th largest number among the known ones, less the error, is one that the k-th of
+    all terms reaches. Words that cannot reach it are out. A second look counts the others: a task sends one number per
+    candidate, not one per word.
+
+    None says that the summary cannot decide: fewer than k known words stand out. So it is for texts whose top words
+    are rare, and then all words have to be counted, see :func:`corpus_term_totals`. Documents beyond the
+    broadcast limit cannot be told apart before words are counted and give None, too.
+    """
+    docs, terms = as_dictionary(docs), as_dictionary(terms)
+    stops = None if stopwords is None else as_dictionary(stopwords)
+    if not docs.fits() or (stops is not None and not stops.fits()):
+        return None
+    texts, _ = _dictionary_texts(corpus, docs, doc_key, text, partitions)
+    tokens = clean_tokens(texts.select(text), text, keep, lowercase)
+    if stops is not None:
+        tokens = remove_stopwords(tokens, stops)
+    found = frequent_items(tokens, "term", items)
+    seen = corpus.sparkSession.createDataFrame(found.items, "term string, seen bigint")
+    # At most ``items`` words against the whole dictionary, which stays where it is.
+    known = _entries(terms, "term", "term_id").join(F.broadcast(seen), "term")
+    known = known.orderBy(F.desc("seen"), "term").limit(items)
+    listed = materialize(known.select("term", "term_id", "seen"), "candidates")
+    kth = listed.orderBy(F.desc("seen")).select("seen").limit(k).agg(F.min("seen").alias("seen"), F.count(F.lit(1)).alias("n")).first()
+    if kth["n"] < k or kth["seen"] - found.error <= found.missing:
+        return None
+    candidates = listed.where(F.col("seen") + found.error >= kth["seen"] - found.error).select("term", "term_id")
+    return tokens.join(F.broadcast(candidates), "term").groupBy("term_id").agg(F.count(F.lit(1)).alias("total"))
+
+
 def term_totals(matrix: DataFrame) -> DataFrame:
     """``(term_id, total)``: corpus total of each term of a count matrix."""
     return matrix.groupBy("term_id").agg(F.sum("freq").alias("total"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from functools import cached_property
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
@@ -15,8 +17,10 @@ from termloom.session import materialize
 BROADCAST_LIMIT = 64 << 20
 # Allowance per row for the hash table around the column values.
 ROW_OVERHEAD = 32
-# Keys a summary of frequent ones keeps at a time. A key with more than 3.5 / HEAVY_ITEMS of all rows is in it.
+# Keys a summary of frequent ones keeps at a time. A key with more than
+# twice SUMMARY_ERROR / HEAVY_ITEMS of all rows is in it, and that share is the most by which its number is wrong.
 HEAVY_ITEMS = 4096
+SUMMARY_ERROR = 3.5
 
 
 class Dictionary:
@@ -101,6 +105,24 @@ def _summary(rows: DataFrame, key: str) -> list[Column]:
     return [top.alias("top"), F.count(F.lit(1)).alias("n")]
 
 
+class FrequentItems(NamedTuple):
+    """``items`` with their numbers, wrong by ``error`` at most; a key not among them has ``missing`` at most."""
+
+    items: list[tuple]
+    error: int
+    missing: int
+
+
+def frequent_items(rows: DataFrame, key: str, size: int = HEAVY_ITEMS) -> FrequentItems:
+    """The most frequent keys by a summary of ``size`` entries; nulls are no keys."""
+    top = F.call_function("approx_top_k", F.col(key), F.lit(size), F.lit(size))
+    found = rows.where(F.col(key).isNotNull()).agg(top.alias("top"), F.count(F.lit(1)).alias("n")).first()
+    items = [(r["item"], r["count"]) for r in found["top"] or ()]
+    error = math.ceil(SUMMARY_ERROR * found["n"] / size)
+    last = items[-1][1] if len(items) >= size else 0
+    return FrequentItems(items, error, max(2 * error, last + error))
+
+
 def _summarizable(rows: DataFrame, key: str) -> bool:
     kinds = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType)
     return isinstance(rows.schema[key].dataType, kinds)

@@ -194,7 +194,14 @@ class TermStatistics:
 
     @_scoped
     def top_terms_of(self, k: int) -> DataFrame:
-        return L.top_terms(C.frequent_terms(self.totals, self.min_total), self.terms, k)
+        totals = self._top_totals(k)
+        return L.top_terms(C.frequent_terms(self.totals if totals is None else totals, self.min_total), self.terms, k)
+
+    def _top_totals(self, k: int) -> DataFrame | None:
+        """Totals of candidates alone, where a large vocabulary would have all its words counted for the list."""
+        if self.terms.fits() or self._stored is not None or "_word_stats" in self.__dict__:
+            return None
+        return C.top_term_totals(*self._inputs, k=k, **self._options)
 
     @property
     @_scoped
