@@ -21,6 +21,10 @@ def _value(bucket: str) -> str:
       ELSE ((({bucket} - {Q.FINE}) % {Q.STEPS} + {Q.STEPS} + 1) << {above}) - 1 END"""
 
 
+def _blend(own: str, other: str) -> str:
+    return f"((n_docs * ({own}) + {Q.BLEND} * {other}) // (n_docs + {Q.BLEND}))"
+
+
 def _level(name: str, by: str) -> str:
     group = f"{by}, " if by else ""
     return f"""
@@ -64,11 +68,11 @@ b AS (SELECT *, n_words < {Q.MIN_WORDS} OR 100 * n_repeat_words > {Q.MAX_REPEATE
 v AS ({" UNION ALL ".join(f"SELECT doc_id, lang, source, base_failed, '{r}' AS ratio, {x} AS v FROM b" for r, x in _RATIO.items())}),
 sketch AS (SELECT lang, source, ratio, {_BUCKET} AS bucket, count(*) AS n FROM v WHERE NOT base_failed GROUP BY ALL),
 {_level("own", "lang, source")}, {_level("language", "lang")}, {_level("corpus", "")},
-chosen AS (SELECT own.lang, own.source, own.ratio,
-    CASE WHEN own.n_docs >= {Q.LEAST_GROUP} THEN own.mb WHEN l.n_docs >= {Q.LEAST_GROUP} THEN l.mb ELSE c.mb END AS mb,
-    CASE WHEN own.n_docs >= {Q.LEAST_GROUP} THEN own.ub WHEN l.n_docs >= {Q.LEAST_GROUP} THEN l.ub ELSE c.ub END AS ub
-  FROM own JOIN language l ON own.lang IS NOT DISTINCT FROM l.lang AND own.ratio = l.ratio JOIN corpus c ON own.ratio = c.ratio),
-edges AS (SELECT lang, source, ratio, {_value("mb")} AS mid, {_value("ub")} AS up FROM chosen),
+corpus_q AS (SELECT ratio, {_value("mb")} AS mid, {_value("ub")} AS up FROM corpus),
+language_q AS (SELECT l.lang, ratio, {_blend(_value("mb"), "c.mid")} AS mid, {_blend(_value("ub"), "c.up")} AS up
+  FROM language l JOIN corpus_q c USING (ratio)),
+edges AS (SELECT own.lang, own.source, own.ratio, {_blend(_value("mb"), "w.mid")} AS mid, {_blend(_value("ub"), "w.up")} AS up
+  FROM own JOIN language_q w ON own.lang IS NOT DISTINCT FROM w.lang AND own.ratio = w.ratio),
 limits AS (SELECT lang, source, ratio,
     up + {Q.FENCE} * greatest(up - mid, CASE ratio {_SPREAD} END) AS most FROM edges),
 over AS (SELECT DISTINCT v.doc_id FROM v JOIN limits l ON v.ratio = l.ratio AND v.lang IS NOT DISTINCT FROM l.lang

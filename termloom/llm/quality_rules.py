@@ -30,14 +30,18 @@ MAX_REPEATED_PERCENT = 20
 
 # Ratios are kept in thousandths. A document goes when a ratio is above its limit, which is FENCE spreads above
 # the upper quantile of its group; the spread is the distance from the median to the upper quantile, or the
-# least spread given here: a group of equal documents must not reject whatever differs in one character.
+# least spread given here: a group of equal documents must not reject whatever differs in one character. Symbols,
+# repeated lines and repeated windows are absent from most ordinary documents, so there the least spread
+# mostly decides; capitals and word length go by their group.
 PER = 1000
-UPPER, MIDDLE = 0.75, 0.5
-FENCE = 6
-LEAST_SPREAD = {"symbols": 8, "dup_lines": 64, "repeats": 40, "capitals": 32, "word_length": 512}
+UPPER, MIDDLE = 0.8, 0.5
+FENCE = 5
+LEAST_SPREAD = {"symbols": 10, "dup_lines": 52, "repeats": 27, "capitals": 4, "word_length": 128}
 RATIOS = tuple(LEAST_SPREAD)
-# Groups with fewer documents take the limits of their language, and small languages those of the corpus.
-LEAST_GROUP = 50
+# A group's quantiles count as much as its documents, those of its language as much as so many more, and in the same
+# way a language's own and those of the corpus. So a group counts the more, the larger it is, without a step.
+BLEND = 50
+QUANTILES = ("middle", "upper")
 # Sketch buckets: one per value below FINE, then STEPS per power of two.
 FINE, STEPS = 64, 32
 
@@ -178,18 +182,15 @@ def learn_limits(sketch: DataFrame) -> DataFrame:
     own = _quantiles(sketch, ["key", "lang"])
     language = _quantiles(sketch, ["lang"])
     corpus = _quantiles(sketch, [])
-    used = (
-        own.join(language.select("lang", "ratio", F.struct("n_docs", "middle", "upper").alias("l")), ["lang", "ratio"])
-        .join(F.broadcast(corpus.select("ratio", F.struct("middle", "upper").alias("c"))), "ratio")
-        .select(
-            "key",
-            "ratio",
-            F.when(F.col("n_docs") >= LEAST_GROUP, F.struct("middle", "upper"))
-            .when(F.col("l.n_docs") >= LEAST_GROUP, F.struct("l.middle", "l.upper"))
-            .otherwise(F.col("c"))
-            .alias("q"),
-        )
+    def blended(own: str, other: str, name: str) -> Column:
+        n = F.col(f"{own}n_docs")
+        return F.call_function("div", n * F.col(f"{own}{name}") + BLEND * F.col(f"{other}{name}"), n + BLEND).alias(name)
+
+    both = language.select("lang", "ratio", F.struct("n_docs", *QUANTILES).alias("l")).join(
+        F.broadcast(corpus.select("ratio", F.struct(*QUANTILES).alias("c"))), "ratio"
     )
+    wide = both.select("lang", "ratio", F.struct(*[blended("l.", "c.", q) for q in QUANTILES]).alias("w"))
+    used = own.join(wide, ["lang", "ratio"]).select("key", "ratio", F.struct(*[blended("", "w.", q) for q in QUANTILES]).alias("q"))
     least = F.element_at(F.create_map(*[F.lit(x) for pair in LEAST_SPREAD.items() for x in pair]), F.col("ratio"))
     limit = F.col("q.upper") + FENCE * F.greatest(F.col("q.upper") - F.col("q.middle"), least)
     by_ratio = used.groupBy("key").agg(*[F.max(F.when(F.col("ratio") == r, limit)).alias(r) for r in RATIOS])

@@ -145,3 +145,32 @@ def test_license_join_beyond_the_broadcast_limit(spark, monkeypatch):
     monkeypatch.setattr(L.Dictionary, "fits", lambda self: False)
     rows = L.scan(docs, known).collect()
     assert len(rows) == 51 and sum(r["license_id"] == "MIT" and r["notices"] == "MIT" for r in rows) == 50
+
+
+def _limits(spark, rows):
+    docs = spark.createDataFrame(rows, SCHEMA)
+    found = Q.learn_limits(Q.sketches(Q.measures(docs), Q.measured_as(docs))).collect()
+    return {r["key"]: r["limits"].asDict() for r in found}
+
+
+def _worded(first, n, length, source):
+    """Documents of words whose mean length differs from one to the next."""
+    return [(first + i, " ".join(chr(97 + k) * (length + (i * k) % (length // 2)) for k in range(20)), "en", source) for i in range(n)]
+
+
+def test_limits_differ_where_sketches_do(spark):
+    limits = _limits(spark, _worded(0, 200, 4, "short") + _worded(1000, 200, 30, "long"))
+    short, long_ = ([v for k, v in limits.items() if f'"{s}"' in k][0] for s in ("short", "long"))
+    least = Q.FENCE * Q.LEAST_SPREAD["word_length"]
+    assert long_["word_length"] - short["word_length"] > 10_000 > least
+    assert all(limit["repeats"] < 10 * Q.MAX_REPEATED_PERCENT for limit in limits.values()), "below what fails anyway"
+
+
+def test_groups_count_by_their_size_without_a_step(spark):
+    def limit(n):
+        limits = _limits(spark, _worded(0, 400, 4, "short") + _worded(1000, n, 30, "long"))
+        return [v["word_length"] for k, v in limits.items() if '"long"' in k][0]
+
+    few, one_less, one_more, many = (limit(n) for n in (5, 49, 50, 300))
+    assert few < one_less <= one_more + 300 < many
+    assert abs(one_more - one_less) < (many - few) / 10
