@@ -7,8 +7,9 @@ path over these scores, where a change of language costs ``SWITCH``, labels ever
 the spans; the language with most letters is the language of the text, its share of the letters the score.
 
 The model is fitted on a bounded sample: about ``SAMPLE`` labelled texts per language, chosen by a hash of the id
-with a rate that follows from the number of labelled rows, and at most ``MAX_LANGUAGES`` languages, the most
-frequent ones. Its size is bounded by ``MAX_LANGUAGES`` times ``2 ** BITS`` numbers; it is broadcast.
+with a rate that follows from the number of labelled rows. Every label is learned. The model has ``WEIGHTS`` numbers
+at most, so the more languages, the fewer buckets its letter groups are hashed to: 2 ** 16 for up to 64 languages,
+``2 ** LEAST_BITS`` at least. That bounds what is broadcast, and portions of text shrink with the number of languages.
 
 Defined results: a null text, one without letters, or a model without languages gives ``und`` with score 0.
 Ties go to the language that sorts first. Rows without a language or an id do not train. Repeated rows count
@@ -32,13 +33,15 @@ from termloom.llm.workers import tidy
 
 UNKNOWN = "und"
 SAMPLE = 4_000
-MAX_LANGUAGES = 256
-BITS = 16
+BITS, LEAST_BITS = 16, 8
+WEIGHTS = 1 << 22
 SWITCH = 15.0
 # A language writes in the scripts that make up this share of its letters.
 SCRIPT_SHARE = 0.01
 # Texts are scored in portions of so many characters, and paths found for so many scores, at a time.
 PORTION = 1 << 19
+# Languages for which portions are that long; with more, they are shorter.
+USUAL_LANGUAGES = 16
 SCORES = 1 << 22
 
 # First and last code points of scripts; letters elsewhere count as one script more.
@@ -105,7 +108,12 @@ class _Words:
     features: np.ndarray | None  # two rows, one column per letter; dropped when they are scored
 
 
-def _words(texts: list[str]) -> _Words:
+def bits_for(languages: int) -> int:
+    """Bits of the hash of a letter group, so that the model keeps its size."""
+    return max(LEAST_BITS, min(BITS, (WEIGHTS // max(1, languages)).bit_length() - 1))
+
+
+def _words(texts: list[str], bits: int) -> _Words:
     # Lower case letter by letter, so that places in the lowered text are places in the text.
     lowered = [low if len(low := t.lower()) == len(t) else "".join(c.lower()[0] for c in t) for t in texts]
     code = np.frombuffer(("\0".join(lowered) + "\0").encode("utf-32-le", "replace"), "<u4")
@@ -118,7 +126,7 @@ def _words(texts: list[str]) -> _Words:
     a, b, c = before[place], x[place], after[place]
     pair = (b * np.uint32(0x9E3779B1)) ^ (c * np.uint32(0x85EBCA77))
     triple = pair ^ (a * np.uint32(0xC2B2AE3D)) ^ np.uint32(0x27D4EB2F)
-    mixed = [((f ^ (f >> np.uint32(15))) * np.uint32(0x2C1B3C6D)) >> np.uint32(32 - BITS) for f in (pair, triple)]
+    mixed = [((f ^ (f >> np.uint32(15))) * np.uint32(0x2C1B3C6D)) >> np.uint32(32 - bits) for f in (pair, triple)]
     first = np.flatnonzero(a == 0)
     lengths = np.array([len(t) + 1 for t in texts])
     ends = np.cumsum(lengths)
@@ -135,6 +143,7 @@ class LanguageModel:
     languages: tuple[str, ...]
     weights: np.ndarray  # float32, a row per feature, a column per language
     writes: np.ndarray  # bool, a row per script, a column per language
+    bits: int = BITS
 
     def word_scores(self, words: _Words) -> np.ndarray:
         """A row per word, a column per language; languages that do not write in its script are far below."""
@@ -223,8 +232,9 @@ def predict(texts: list[str], model: LanguageModel, with_spans: bool = False) ->
         waiting.clear()
 
     held = 0
-    for start, end in _portions(texts, PORTION):
-        words = _words(texts[start:end])
+    portion = PORTION * USUAL_LANGUAGES // max(USUAL_LANGUAGES, len(model.languages))
+    for start, end in _portions(texts, portion):
+        words = _words(texts[start:end], model.bits)
         if len(words.text):
             waiting.append((start, words, model.word_scores(words)))
             words.features = None
@@ -237,23 +247,27 @@ def predict(texts: list[str], model: LanguageModel, with_spans: bool = False) ->
     return pd.DataFrame(result | {"spans": spans if with_spans else None}, index=range(len(texts)))
 
 
-def _count_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """``(lang, kind, place, n)``: how often a task saw each letter group, and each script, of a language."""
-    groups: dict[str, np.ndarray] = {}
-    scripts: dict[str, np.ndarray] = {}
-    for batch in batches:
-        for lang, texts in batch.groupby("lang")["text"]:
-            texts = texts.tolist()
-            for start, end in _portions(texts, PORTION):
-                words = _words(texts[start:end])
-                counts = np.bincount(words.features.ravel(), minlength=1 << BITS)
-                written = np.bincount(words.script, weights=words.letters, minlength=len(SCRIPT_NAMES))
-                groups[lang] = groups.get(lang, 0) + counts
-                scripts[lang] = scripts.get(lang, 0) + written.astype(np.int64)
-    for kind, found in (("group", groups), ("script", scripts)):
-        for lang, counts in found.items():
-            place = np.flatnonzero(counts)
-            yield pd.DataFrame({"lang": lang, "kind": kind, "place": place, "n": counts[place]})
+def _count_features(bits: int):
+    """A task function: ``(lang, kind, place, n)``, how often it saw each letter group, and each script, of a language."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        groups: dict[str, np.ndarray] = {}
+        scripts: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for lang, texts in batch.groupby("lang")["text"]:
+                texts = texts.tolist()
+                for start, end in _portions(texts, PORTION):
+                    words = _words(texts[start:end], bits)
+                    counts = np.bincount(words.features.ravel(), minlength=1 << bits)
+                    written = np.bincount(words.script, weights=words.letters, minlength=len(SCRIPT_NAMES))
+                    groups[lang] = groups.get(lang, 0) + counts
+                    scripts[lang] = scripts.get(lang, 0) + written.astype(np.int64)
+        for kind, found in (("group", groups), ("script", scripts)):
+            for lang, counts in found.items():
+                place = np.flatnonzero(counts)
+                yield pd.DataFrame({"lang": lang, "kind": kind, "place": place, "n": counts[place]})
+
+    return count
 
 
 def fit(
@@ -264,26 +278,28 @@ def fit(
     labelled = labelled.select(
         column(lang).alias("lang"), F.coalesce(column(text), F.lit("")).alias("text"), column(doc_id).alias("id")
     )
-    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang")
-    languages = {row["lang"]: row["n"] for row in counts.limit(MAX_LANGUAGES).collect()}
+    # One row per label.
+    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy("lang")
+    languages = {row["lang"]: row["n"] for row in counts.collect()}
+    bits = bits_for(len(languages))
     if not languages:
-        return LanguageModel((), np.zeros((1 << BITS, 0), np.float32), np.zeros((len(SCRIPT_NAMES), 0), bool))
+        return LanguageModel((), np.zeros((1 << bits, 0), np.float32), np.zeros((len(SCRIPT_NAMES), 0), bool), bits)
     rates = F.create_map(*[F.lit(x) for k, n in languages.items() for x in (k, min(1.0, sample / n))])
     place = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(1 << 30)) / float(1 << 30)
     chosen = labelled.where(place < F.element_at(rates, F.col("lang"))).select("lang", "text")
     found = (
-        chosen.mapInPandas(tidy(_count_features), "lang string, kind string, place int, n bigint")
+        chosen.mapInPandas(tidy(_count_features(bits)), "lang string, kind string, place int, n bigint")
         .groupBy("lang", "kind", "place")
         .agg(F.sum("n").alias("n"))
         .toPandas()
     )
     names = tuple(sorted(found["lang"].unique()))
-    groups = np.full((1 << BITS, len(names)), 0.5)
+    groups = np.full((1 << bits, len(names)), 0.5)
     scripts = np.zeros((len(SCRIPT_NAMES), len(names)))
     for (name, kind), rows in found.groupby(["lang", "kind"]):
         (groups if kind == "group" else scripts)[rows["place"], names.index(name)] += rows["n"]
     weights = np.log(groups / groups.sum(axis=0)).astype(np.float32)
-    return LanguageModel(names, weights, scripts >= SCRIPT_SHARE * np.maximum(scripts.sum(axis=0), 1))
+    return LanguageModel(names, weights, scripts >= SCRIPT_SHARE * np.maximum(scripts.sum(axis=0), 1), bits)
 
 
 def identify(

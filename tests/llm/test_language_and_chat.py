@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import random
 
 import numpy as np
 import public_tokenizers as P
@@ -187,3 +188,21 @@ def test_pipeline_by_stages(spark, small_docs):
     assert set(kept["near_duplicates"]) == {sound[r][0] for r in roots}
     packed = corpus_pipeline.run(spark, sf_dir)
     assert {r["doc_id"] for r in packed.select("doc_id").distinct().collect()} == set(kept["near_duplicates"])
+
+
+def test_every_label_is_learned(spark):
+    """Three hundred labels, each with letters of its own choice; the rarest has one document."""
+    rng = random.Random(9)
+
+    def text(label, words):
+        letters = random.Random(label).sample("abcdefghijklmnopqrstuvwxyz", 4)
+        return " ".join("".join(rng.choices(letters, k=6)) for _ in range(words))
+
+    rows = [(k * 10 + i, text(k, 60), f"l{k:03}") for k in range(300) for i in range(1 if k == 299 else 2)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = I.fit(docs, F.lit(True))
+    assert model.languages == tuple(f"l{k:03}" for k in range(300))
+    assert model.weights.size <= I.WEIGHTS and I.bits_for(4) == I.BITS and I.bits_for(10**6) == I.LEAST_BITS
+    asked = spark.createDataFrame([(299, text(299, 40)), (298, text(298, 40)), (0, text(0, 40))], "k int, text string")
+    found = {r["k"]: r["language"]["lang_pred"] for r in I.identify(asked, model).collect()}
+    assert found == {k: f"l{k:03}" for k in (299, 298, 0)}
