@@ -39,10 +39,10 @@ SWITCH = 15.0
 # A language writes in the scripts that make up this share of its letters.
 SCRIPT_SHARE = 0.01
 # Texts are scored in portions of so many characters, and paths found for so many scores, at a time.
-PORTION = 1 << 19
+PORTION = 1 << 18
 # Languages for which portions are that long; with more, they are shorter.
 USUAL_LANGUAGES = 16
-SCORES = 1 << 22
+SCORES = 1 << 21
 
 # First and last code points of scripts; letters elsewhere count as one script more.
 SCRIPTS = (
