@@ -9,11 +9,13 @@ turn's place in its conversation follows from two such sums, and cuts long conve
 ``SEGMENT`` tokens that are worked on apart. Within a segment, windows take turns while they fit the budget: the
 conversation's system turn, if it starts with one, then up to ``HISTORY`` tokens of the turns before, then new
 turns. What a window repeats is masked: only the texts of new assistant turns are under its loss mask, so every
-one is trained on once.
+one is trained on once. A system turn stands whole in the window it opens; later windows repeat it whole if it takes no
+more than half of the budget, and else the first part of its text that does. So output stays in proportion to input.
 
 Defined results: a null text or role is empty. A null conversation id is a conversation. Turns go by turn number,
-nulls first, then by role and by a hash of the text; repeated rows are turns of their own. A turn that is longer
-than the budget gets a window of its own, with what it repeats, beyond the budget. An empty table gives no windows.
+nulls first, then by role and by a hash of the text; repeated rows are turns of their own. A turn that does not fit
+beside what its window repeats gets a window of its own, beyond the budget. A system turn of which no text fits in half
+of the budget is repeated without text. An empty table gives no windows.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from termloom.llm.bpe import vocabulary
+from termloom.llm.bpe import Vocabulary, vocabulary
 from termloom.llm.common import column
 from termloom.llm.workers import tidy
 from termloom.operators.lookup import salted_join
@@ -68,21 +70,39 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
     return [(unescape_role(role), unescape(text)) for role, text in bodies]
 
 
-def _sorted_turns(conversations: DataFrame, path: str) -> DataFrame:
-    """Formatted turns in order, with their tokens and the tokens of all turns before (``position``)."""
+def shortened(role: str, text: str, limit: int, words: Vocabulary) -> tuple[str, int]:
+    """A formatted turn of at most ``limit`` tokens with as much of the start of ``text`` as fits, or none; its tokens."""
+    ids = words.encode(text)[:limit]
+    keep = len(ids)
+    while True:
+        formatted = format_turn(role, words.decode(ids[:keep]).decode("utf-8", "ignore"))
+        tokens = len(words.encode(formatted))
+        if tokens <= limit or not keep:
+            return formatted, tokens
+        keep = max(0, keep - (tokens - limit))
+
+
+def _sorted_turns(conversations: DataFrame, path: str, limit: int) -> DataFrame:
+    """Formatted turns in order, with their tokens and the tokens of all turns before (``position``); for system
+    turns also what later windows repeat of them (``head``)."""
 
     @tidy
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, total = TaskContext.get().partitionId(), 0
         for batch in batches:
-            encode = vocabulary(path).encode
+            words = vocabulary(path)
             batch = batch.copy()
             batch["formatted"] = [format_turn(r, t) for r, t in zip(batch["role"], batch["text"])]
-            batch["tokens"] = [len(encode(x)) for x in batch["formatted"]]
+            batch["tokens"] = [len(words.encode(x)) for x in batch["formatted"]]
+            heads = [
+                (None, 0) if role != SYSTEM else (whole, n) if n <= limit else shortened(role, text, limit, words)
+                for role, text, whole, n in zip(*[batch[c] for c in ("role", "text", "formatted", "tokens")])
+            ]
+            batch["head"], batch["head_tokens"] = [h for h, _ in heads], [n for _, n in heads]
             upto = batch["tokens"].cumsum()
             batch["part"], batch["before"] = part, total + upto - batch["tokens"]
             total += int(upto.iloc[-1]) if len(batch) else 0
-            yield batch[["key", "role", "formatted", "tokens", "part", "before"]]
+            yield batch[["key", "role", "formatted", "tokens", "head", "head_tokens", "part", "before"]]
 
     rows = conversations.select(
         F.to_json(F.struct(column("conv_id").alias("conv_id"))).alias("key"),
@@ -93,14 +113,15 @@ def _sorted_turns(conversations: DataFrame, path: str) -> DataFrame:
     )
     order = ["key", "turn", "role", F.xxhash64("text"), "place"]
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("key", "role", "text")
-    schema = "key string, role string, formatted string, tokens bigint, part int, before bigint"
+    schema = "key string, role string, formatted string, tokens bigint, head string, head_tokens bigint, part int, before bigint"
     counted = materialize(ranged.mapInPandas(count, schema), "turns")
     per_part = counted.groupBy("part").agg(F.sum("tokens").alias("n"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = per_part.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
     # One row per task on the broadcast side.
     placed = counted.join(F.broadcast(starts), "part")
-    return placed.select("key", "role", "formatted", "tokens", (F.col("start") + F.col("before")).alias("position"))
+    position = (F.col("start") + F.col("before")).alias("position")
+    return placed.select("key", "role", "formatted", "tokens", "head", "head_tokens", position)
 
 
 _WINDOW = (
@@ -110,11 +131,11 @@ _WINDOW = (
 
 
 def _windows(budget: int, history: int):
-    """Windows of segments whose turns come one after the other; the turns of the segment before that a
-    segment begins with (``context``) are history only."""
+    """Windows of segments whose turns come one after the other. A segment begins with the row of what is repeated
+    of its system turn (``kind`` 0), at the place of that turn, if there is one, and with the turns of the segment
+    before that are history only (``kind`` 1)."""
 
-    def window(key: str, system: tuple | None, past: list[tuple], turns: list[tuple]) -> tuple:
-        context = ([system] if system else []) + past
+    def window(key: str, context: list[tuple], turns: list[tuple]) -> tuple:
         text, starts, ends = "".join(x[2] for x in context), [], []
         size = len(text)
         parts = [text]
@@ -143,41 +164,39 @@ def _windows(budget: int, history: int):
 
         for batch in batches:
             rows = []
-            columns = [batch[c] for c in ("key", "segment", "position", "role", "formatted", "tokens", "context", "first")]
-            for k, segment, position, role, formatted, tokens, context, first in zip(*columns):
+            columns = [batch[c] for c in ("key", "segment", "kind", "position", "role", "formatted", "tokens")]
+            for k, segment, kind, *turn in zip(*columns):
+                turn = tuple(turn)
                 if (k, segment) != group:
                     if turns:
-                        rows.append(window(key, system, carried, turns))
+                        rows.append(window(key, context, turns))
                     group, key, turns, system, used, past_tokens = (k, segment), k, [], None, 0, 0
                     past.clear()
-                    if first is not None and first["role"] == SYSTEM and first["position"] != position:
-                        system = (first["position"], SYSTEM, first["formatted"], first["tokens"])
-                turn = (position, role, formatted, tokens)
-                if context:
+                if kind == 0:
+                    system = turn
+                    continue
+                if kind == 1:
                     remember(turn)
                     continue
-                if turns and used + tokens > budget:
-                    rows.append(window(key, system, carried, turns))
-                    opening = turns[0]
+                if turns and used + turn[3] > budget:
+                    rows.append(window(key, context, turns))
                     for done in turns:
-                        if not (system is None and role_is_first(done, first)):
+                        if not same_turn(done, system):
                             remember(done)
-                    if system is None and role_is_first(opening, first):
-                        system = opening
                     turns = []
                 if not turns:
-                    carried = list(past)
-                    used = past_tokens + (system[3] if system else 0)
+                    # The window that a system turn opens has it among its new turns.
+                    context = ([system] if system and not same_turn(turn, system) else []) + list(past)
+                    used = sum(x[3] for x in context)
                 turns.append(turn)
-                used += tokens
+                used += turn[3]
             if rows:
                 yield pd.DataFrame(rows, columns=names)
         if turns:
-            yield pd.DataFrame([window(key, system, carried, turns)], columns=names)
+            yield pd.DataFrame([window(key, context, turns)], columns=names)
 
-    def role_is_first(turn: tuple, first) -> bool:
-        """Whether a turn is the system turn its conversation starts with."""
-        return first is not None and turn[1] == SYSTEM and turn[0] == first["position"]
+    def same_turn(turn: tuple, system: tuple | None) -> bool:
+        return system is not None and turn[:2] == system[:2]
 
     return cut
 
@@ -188,22 +207,31 @@ def format_windows(conversations: DataFrame, path: str, budget: int = BUDGET, hi
     ``key`` is the conversation id as JSON, ``position`` sorts the windows of a conversation; the first
     ``n_context`` turns are repeated ones; the loss mask covers characters from ``loss_start`` up to ``loss_end``.
     """
-    turns = materialize(_sorted_turns(conversations, path), "placed")
-    first = F.min(F.struct("position", "role", "formatted", "tokens")).alias("first")
-    heads = materialize(turns.groupBy("key").agg(first, F.count(F.lit(1)).alias("n")), "heads")
-    is_system = F.col("first.role") == SYSTEM
-    kept = heads.select("key", F.col("first.position").alias("base"), F.when(is_system, F.col("first")).alias("first"))
-    joined = salted_join(turns, kept, "key", rows_per_key=heads.select("key", "n"))
+    turns = _sorted_turns(conversations, path, budget // 2)
+    first = F.min(F.struct("position", "role", "head", "head_tokens")).alias("first")
+    ends = [F.max("position").alias("last"), F.count(F.lit(1)).alias("n")]
+    heads = materialize(turns.groupBy("key").agg(first, *ends), "heads")
+    base = heads.select("key", F.col("first.position").alias("base"))
+    joined = salted_join(turns.drop("head", "head_tokens"), base, "key", rows_per_key=heads.select("key", "n"))
     segment = F.floor((F.col("position") - F.col("base")) / SEGMENT)
     near_end = F.col("position") - F.col("base") >= (segment + 1) * SEGMENT - history
-    own = F.struct(segment.alias("segment"), F.lit(False).alias("context"))
-    next_ = F.struct((segment + 1).alias("segment"), F.lit(True).alias("context"))
+    own = F.struct(segment.alias("segment"), F.lit(2).alias("kind"))
+    next_ = F.struct((segment + 1).alias("segment"), F.lit(1).alias("kind"))
     copies = F.explode(F.when(near_end, F.array(own, next_)).otherwise(F.array(own))).alias("in")
+    turn = ["position", "role", "formatted", "tokens"]
+    of_turns = joined.select("*", copies).select("key", "in.segment", "in.kind", *turn)
+    # What is repeated of a system turn goes to each segment of its conversation, not to each turn.
+    segments = F.sequence(F.lit(0).cast("long"), F.floor((F.col("last") - F.col("first.position")) / SEGMENT))
+    of_system = heads.where(F.col("first.role") == SYSTEM).select(
+        "key",
+        F.explode(segments).alias("segment"),
+        F.lit(0).alias("kind"),
+        *[F.col(f"first.{c}").alias(name) for c, name in zip(("position", "role", "head", "head_tokens"), turn)],
+    )
     dealt = (
-        joined.select("*", copies)
-        .select("key", "in.segment", "in.context", "position", "role", "formatted", "tokens", "first")
+        of_turns.unionByName(of_system)
         .repartition("key", "segment")
-        .sortWithinPartitions("key", "segment", "position")
+        .sortWithinPartitions("key", "segment", "kind", "position")
     )
     return dealt.mapInPandas(_windows(budget, history), _WINDOW)
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from termloom.llm import chat as C
 from termloom.llm import language_id as I
+from termloom.llm.bpe import vocabulary
 from tests.llm.conftest import TEXTS
 
 JSON = P.path("byte_bpe_50k.json")
@@ -153,6 +154,35 @@ def test_windows(spark, monkeypatch, budget, history, segment):
         assert [C.unescape(m) for m in mask] == [t for r, t in turns[w["n_context"] :] if r == "assistant"]
 
 
+def test_long_system_turns_are_repeated_in_part(spark, monkeypatch):
+    monkeypatch.setattr(C, "SEGMENT", 4096)
+    system = "Answer in é|<|im_end|> words. " * 8_000
+    rows = [(1, 0, "system", system)] + [(1, t, "assistant" if t % 2 else "user", f"turn {t}") for t in range(1, 1_500)]
+    rows += [(2, 0, "system", "short"), (2, 1, "system", system), (2, 2, "assistant", "x")]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    windows = C.format_windows(df, JSON).cache()
+    assert {r["conv_id"]: tuple(r)[1:5] for r in C.read_windows(windows).collect()} == expected(rows)
+    found = sorted((w for w in windows.collect() if '"conv_id":1}' in w["key"]), key=lambda w: w["position"])
+    opening, *later = [C.read_turns(w["formatted"]) for w in found]
+    assert opening[0] == ("system", system) and found[0]["n_context"] == 0
+    for w, turns in zip(found[1:], later):
+        assert w["n_tokens"] <= C.BUDGET
+        assert turns[0][0] == "system" and turns[0][1] and system.startswith(turns[0][1])
+        assert [role for role, _ in turns].count("system") == 1
+    assert sum(len(w["formatted"]) for w in found[1:]) < 2 * len(system)
+
+
+def test_shortened_turns():
+    words = vocabulary(JSON)
+    for text in ("", "ab " * 500, "<|" * 500, "é漢\U0001f600" * 300):
+        for limit in (0, 12, 40, 10_000):
+            formatted, tokens = C.shortened("system", text, limit, words)
+            [(role, part)] = C.read_turns(formatted)
+            assert tokens == len(words.encode(formatted)) and role == "system" and text.startswith(part)
+            assert tokens <= limit or not part
+            assert part == text or limit < 10_000
+
+
 def test_no_conversations(spark):
     df = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
     assert C.read_windows(C.format_windows(df, JSON)).count() == 0
