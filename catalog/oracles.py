@@ -186,4 +186,12 @@ SELECT CAST(row_number() OVER (ORDER BY frequency, term DESC) AS INTEGER) AS rk,
     ),
     "report_roundtrip": _over("SELECT class, top_terms FROM report"),
     "per_document_tf": _over("SELECT doc_name, term_id, freq FROM counts JOIN docs USING (doc_id)"),
+    "extended_dictionary": _over("""
+SELECT term_id, term FROM terms UNION ALL
+SELECT (SELECT max(term_id) FROM terms) + row_number() OVER (ORDER BY term) AS term_id, term
+FROM (SELECT DISTINCT term FROM tokens WHERE term NOT IN (SELECT term FROM terms))"""),
+    "decode_terms_bucketed": _over("SELECT term_id, doc_id, term FROM counts JOIN terms USING (term_id)"),
+    "matrix_ranges": _over("SELECT term_id, doc_id, freq FROM counts"),
+    "batched_counts": _over("SELECT term_id, doc_id, freq FROM counts"),
+    "batched_tfidf": _over("SELECT term_id, doc_id, round(tfidf, 9) AS tfidf FROM weights"),
 }

@@ -11,11 +11,14 @@ from termloom.operators import counts as C
 from termloom.operators import tokens as T
 from termloom.operators import toplists as L
 from termloom.operators import weights as W
+from termloom.operators.buckets import BucketedDictionary
+from termloom.plans.batches import CountStore
 from termloom.session import scratch_path
+from termloom.sinks import ranges
 from termloom.sinks import text as sinks
 from termloom.sources import corpus as corpora
 from termloom.sources import dictionary as dictionaries
-from termloom.sources import triples
+from termloom.sources import growth, triples
 
 QUERIES = {}
 # Tells equal rows apart, should a dictionary be too large to broadcast.
@@ -380,3 +383,48 @@ def per_document_tf(spark, sf_dir):
     path = scratch_path(spark, "documents")
     X.statistics(spark, sf_dir).write_per_document(path)
     return sinks.read_per_document(spark, path)
+
+
+# Kept up to date
+
+
+@query
+def extended_dictionary(spark, sf_dir):
+    words = T.clean_tokens(X.table(spark, sf_dir, "documents").select("text"), partitions=X.PARTITIONS)
+    return growth.extend_ids(X.terms(spark, sf_dir), words, "term", "term_id")
+
+
+@query
+def decode_terms_bucketed(spark, sf_dir):
+    terms = BucketedDictionary(X.terms(spark, sf_dir), "term_id")
+    return terms.lookup(X.statistics(spark, sf_dir).counts.select("term_id", "doc_id"))
+
+
+@query
+def matrix_ranges(spark, sf_dir):
+    path = scratch_path(spark, "ranges")
+    ranges.write_ranges(X.statistics(spark, sf_dir).counts, path)
+    return ranges.read_ranges(spark, path)
+
+
+def _batched(spark, sf_dir) -> CountStore:
+    """A batch for each two classes that follow each other, so all but the outer ones come twice and are replaced."""
+    corpus, terms, docs = X.corpus(spark, sf_dir), X.terms(spark, sf_dir), X.docs(spark, sf_dir)
+    label = F.coalesce("class", F.lit(""))
+    classes = sorted(r[0] for r in corpus.select(label).distinct().collect())
+    store = CountStore(spark, scratch_path(spark, "store"))
+    for pair in zip(classes, classes[1:] or classes):
+        texts = corpus.where(label.isin(*pair))
+        store.add_corpus(texts, terms, docs, X.stopwords(spark), doc_key="src_id", partitions=X.PARTITIONS)
+    return store
+
+
+@query
+def batched_counts(spark, sf_dir):
+    return _batched(spark, sf_dir).counts
+
+
+@query
+def batched_tfidf(spark, sf_dir):
+    store = _batched(spark, sf_dir)
+    return rounded(store.tfidf(terms=X.terms(spark, sf_dir), docs=X.docs(spark, sf_dir)), "tfidf")
