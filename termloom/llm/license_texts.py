@@ -4,7 +4,7 @@ Long texts are files in ``licenses``, named by id, as published. Notices are mad
 """
 
 import re
-from pathlib import Path
+from importlib.resources import files
 
 _MIT_GRANT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and \
 associated documentation files (the "Software"), to deal in the Software without restriction, including without \
@@ -163,14 +163,18 @@ _LIST_END = re.compile(r"(?i)END OF TERMS AND CONDITIONS")
 def whole_texts() -> list[tuple[str, str]]:
     """(id, text) of the files: as published, with a paragraph per line, and each of these up to its appendix."""
     rows = []
-    for file in sorted((Path(__file__).parent / "licenses").glob("*.txt")):
+    # Resources, not paths: the package may lie in a zip file.
+    for file in sorted(files(__package__).joinpath("licenses").iterdir(), key=lambda f: f.name):
+        if not file.name.endswith(".txt"):
+            continue
         text = file.read_text("utf-8")
+        key = file.name.removesuffix(".txt")
         flowing = "\n".join(" ".join(p.split()) for p in re.split(r"\n[ \t]*\n", text))
         for form in (text, flowing):
             end = _LIST_END.search(form)
             cuts = [len(form), *([end.start(), end.end()] if end else [])]
             # Marks are blanks in the canonical form; without them no other line break makes a copyright line of a "(c)".
-            rows += [(file.stem, re.sub(r"(?i)\((c)\)|©", r"\1", _DROPPED.sub("", form[:cut]))) for cut in cuts]
+            rows += [(key, re.sub(r"(?i)\((c)\)|©", r"\1", _DROPPED.sub("", form[:cut]))) for cut in cuts]
     return rows
 
 

@@ -45,3 +45,19 @@ def test_notices_in_usual_wordings(spark, line, name):
 def test_each_form_has_one_id():
     forms = [T._plain(t) for _, t in T.LICENSES]
     assert len(forms) == len(set(forms))
+
+
+def test_texts_are_found_in_a_zip_file(tmp_path):
+    import os
+    import shutil
+    import subprocess
+    import sys
+
+    package = Path(T.__file__).parents[1]
+    archive = shutil.make_archive(str(tmp_path / "termloom"), "zip", package.parent, package.name)
+    code = "from termloom.llm import license_texts as t; print(t.__file__); print(len(t.whole_texts()), len(t.LICENSES))"
+    env = {**os.environ, "PYTHONPATH": os.pathsep.join([archive, *[p for p in sys.path if p and Path(p) != package.parent]])}
+    done = subprocess.run([sys.executable, "-c", code], env=env, cwd=tmp_path, capture_output=True, text=True, check=True)
+    where, numbers = done.stdout.splitlines()
+    assert where.startswith(archive)
+    assert numbers == f"{len(T.whole_texts())} {len(T.LICENSES)}"
