@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from termloom.functions.text import class_of
 from termloom.operators.lookup import Dictionary
 from termloom.session import materialize
+from termloom.sinks import folders
 
 
 def _field(column: T.StructField) -> Column:
@@ -49,7 +50,7 @@ def write_per_document(counts: DataFrame, path: str) -> None:
 
     Rows are dealt by document, so a document is one file, and several where it has more than ``ROWS_PER_FILE``
     rows; a class folder holds its own documents only. The number of tasks is given, as creating files takes longer
-    than the rows suggest.
+    than the rows suggest. Tasks write them themselves (:mod:`folders`) unless Arrow does not know the file system.
     """
     tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sizes = counts.groupBy("doc_name").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > ROWS_PER_FILE)
@@ -59,16 +60,20 @@ def write_per_document(counts: DataFrame, path: str) -> None:
     joined = counts.join(F.broadcast(parts.df) if parts.fits() else parts.df, "doc_name", "left")
     part = F.pmod(F.xxhash64("term_id"), F.coalesce("parts", F.lit(1)))
     line = F.concat_ws("\t", F.col("term_id").cast("string"), F.col("freq").cast("string"))
-    rows = joined.select(class_of(F.col("doc_name")).alias("class"), "doc_name", part.alias("part"), line.alias("value"))
-    dealt = rows.repartition(tasks, "class", "doc_name", "part").drop("part")
-    dealt.write.partitionBy("class", "doc_name").text(path)
+    name = F.nullif(F.col("doc_name"), F.lit(""))  # both have one folder
+    rows = joined.select(class_of(name).alias("class"), name.alias("doc_name"), part.alias("part"), line.alias("value"))
+    dealt = rows.repartition(tasks, "class", "doc_name", "part")
+    if folders.opens(counts.sparkSession, path):
+        folders.write(dealt, path)
+    else:
+        dealt.drop("part").write.partitionBy("class", "doc_name").text(path)
 
 
 def read_per_document(spark: SparkSession, path: str) -> DataFrame:
     """``(doc_name, term_id, freq)`` back from :func:`write_per_document`."""
+    if folders.opens(spark, path):
+        lines = folders.read(spark, path)
+    else:
+        lines = spark.read.schema("value STRING, class STRING, doc_name STRING").text(path)
     fields = F.split("value", "\t")
-    return (
-        spark.read.schema("value STRING, class STRING, doc_name STRING")
-        .text(path)
-        .select("doc_name", fields[0].cast("bigint").alias("term_id"), fields[1].cast("bigint").alias("freq"))
-    )
+    return lines.select("doc_name", fields[0].cast("bigint").alias("term_id"), fields[1].cast("bigint").alias("freq"))

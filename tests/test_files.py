@@ -265,6 +265,30 @@ def test_large_documents_are_several_files(spark, out, monkeypatch):
     assert read_per_document(spark, out).count() == 1003
 
 
+def test_document_folders_stay_out_of_the_driver(spark, out):
+    from termloom.sinks import text
+
+    names = ["a.1", "a.b=c/d:%20 é", "b'[x]^{y}\\", "", "b.#?*\"\t\n", "_c.%41", "ü.1", ".d"]
+    rows = spark.createDataFrame([(i, i + 1, n) for i, n in enumerate(names)] + [(9, 1, None)], "term_id long, freq long, doc_name string")
+    text.write_per_document(rows, out)
+    want = {(n or None, i, i + 1) for i, n in enumerate(names)} | {(None, 9, 1)}
+    back = read_per_document(spark, out)
+    assert {tuple(r) for r in back.collect()} == want
+    assert not back.inputFiles()  # Spark's scan of the folders would hold every file of them in the driver
+
+    # The folders are those of Spark's own writer, and each of the two readers reads both.
+    line = F.concat_ws("\t", "term_id", "freq").alias("value")
+    spark_out = out + "2"
+    rows.select(F.substring_index("doc_name", ".", 1).alias("class"), "doc_name", line).write.partitionBy("class", "doc_name").text(spark_out)
+    folders = [sorted(str(p.relative_to(o)) for p in pathlib.Path(o).glob("class=*/doc_name=*")) for o in (out, spark_out)]
+    assert folders[0] == folders[1]
+    assert {tuple(r) for r in read_per_document(spark, spark_out).collect()} == want
+    plain = spark.read.schema("value STRING, class STRING, doc_name STRING").text(out)
+    assert {(r["doc_name"], *map(int, r["value"].split("\t"))) for r in plain.collect()} == want
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        text.write_per_document(rows, out)
+
+
 def test_null_shares_are_written_as_such(spark, out):
     df = spark.sql("SELECT * FROM VALUES (1L, 1L, CAST(NULL AS DOUBLE)), (2L, 1L, 0.5D) AS t(term_id, doc_id, tfidf)")
     write_matrix(df, out)
