@@ -3,7 +3,7 @@
 Each language keeps the terms that stand in ``min_docs`` of its documents. They are sorted by UTF-8 bytes and
 numbered, and every run of ``SHARD_TERMS`` numbers becomes a minimal acyclic transducer (see :mod:`transducer`) that
 knows its first number. The words of all texts are then streamed through the transducers of their language, equal ones of
-a portion together, which gives the number of each kept term; counts per (language, source, number) are shuffled.
+a portion of ``PORTION`` bytes together, which gives the number of each kept term; counts per (language, source, number) are shuffled.
 
 A group gives a term with ``count`` occurrences ``p = 1 + floor(SCALE * (count + ADDED) / (N + ADDED * V))``: whole
 numbers, so nothing depends on the order of sums. Part ``pair`` sums ``|p - q|`` over all kept terms for every two sources
@@ -20,14 +20,15 @@ beside those named are not read.
 
 from __future__ import annotations
 
-import re
 from bisect import bisect_left
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,52 +44,87 @@ TOP = 50
 SCALE, ADDED = 1_000_000_000, 5
 SHARD_TERMS = 1 << 12
 SOURCES, TERMS = 128, 1 << 12
-# Long texts are taken apart in pieces of so many bytes; a task gives out its counts at so many entries.
-PIECE, ENTRIES = 1 << 20, 1 << 19
+# Long texts are taken apart in pieces of so many bytes; a task gives out its counts at so many bytes of text.
+PIECE, PORTION = 1 << 20, 1 << 24
 
-# Of lower-cased UTF-8: runs of a-z and of all bytes beyond ASCII.
-_TERM = re.compile(rb"[a-z\x80-\xff]+")
-_OTHER = re.compile(rb"[^a-z\x80-\xff]")
+# Bytes of UTF-8 text: A-Z in lower case, a-z and all beyond ASCII as they are, any other a blank.
+_BYTES = bytes(ord(c.lower()) if (c := chr(b)).isascii() and c.isalpha() else b if b >= 0x80 else 0x20 for b in range(256))
 
 
-def _terms(text: str) -> Iterator[list[bytes]]:
-    """The terms of a text in lower case, piece by piece."""
-    lowered = text.encode("utf-8", "replace").lower()  # bytes: A-Z only
+def _pieces(text: str) -> Iterator[bytes]:
+    """A text in lower case with blanks between its terms, piece by piece."""
+    lowered = text.encode("utf-8", "replace").translate(_BYTES)
     at = 0
     while at < len(lowered):
-        gap = _OTHER.search(lowered, at + PIECE)
-        end = gap.start() if gap else len(lowered)
-        yield _TERM.findall(lowered, at, end)
+        gap = lowered.find(b" ", at + PIECE)
+        end = gap if gap >= 0 else len(lowered)
+        yield lowered[at:end]
         at = end
 
 
-def _flushed(batches: Iterator[pd.DataFrame], add, key) -> Iterator[dict]:
-    """Counters per ``key`` of rows, filled by ``add`` over many rows and given out before they grow large."""
-    found: dict = defaultdict(Counter)
-    entries = 0
-    for batch in batches:
-        for *names, text in batch.itertuples(index=False, name=None):
-            counter = found[key(*names)]
-            entries -= len(counter)
-            add(counter, text)
-            entries += len(counter)
-            if entries >= ENTRIES:
-                yield found
-                found, entries = defaultdict(Counter), 0
-    if entries:
-        yield found
+def _terms(text: str) -> Iterator[list[bytes]]:
+    """The terms of a text in lower case, piece by piece."""
+    for piece in _pieces(text):
+        yield piece.split()
 
 
-def _add_distinct(counter: Counter, text: str) -> None:
-    once: set[bytes] = set()
-    for terms in _terms(text):
-        once.update(terms)
-    counter.update(once)
+def _reduced(text: str) -> Iterator[bytes]:
+    """A text as one piece; a long one with each of its terms once."""
+    if 4 * len(text) <= PIECE:
+        yield from _pieces(text)
+    else:
+        yield b" ".join(set().union(*_terms(text)))
 
 
-def _add_all(counter: Counter, text: str) -> None:
-    for terms in _terms(text):
-        counter.update(terms)
+@dataclass
+class _Portion:
+    """Terms of some texts: of each, the number of its piece, and of its word in ``words``, which has each word once."""
+
+    keys: list[tuple]
+    piece: np.ndarray
+    word: np.ndarray
+    words: pa.Array
+
+    @classmethod
+    def of(cls, keys: list[tuple], pieces: list[bytes]) -> _Portion:
+        data = np.frombuffer(b" ".join(pieces) + b" ", np.uint8)
+        blank = data == 0x20
+        edges = np.flatnonzero(np.diff(blank, prepend=True))  # terms begin and end by turns
+        start, end = edges[::2], edges[1::2]
+        offsets = np.concatenate([[0], np.cumsum(end - start)]).astype(np.int32)
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data[~blank])]
+        terms = pa.Array.from_buffers(pa.binary(), len(start), buffers).dictionary_encode()
+        upto = np.searchsorted(start, np.cumsum([len(p) + 1 for p in pieces]))
+        piece = np.repeat(np.arange(len(pieces)), np.diff(upto, prepend=0))
+        return cls(keys, piece, terms.indices.to_numpy().astype(np.int64), terms.dictionary)
+
+    def counts(self, distinct: bool) -> tuple[list[tuple], np.ndarray, np.ndarray, np.ndarray]:
+        """Different keys; number of the key, of the word, and in how many terms, or pieces, the two occur."""
+        number: dict[tuple, int] = {}
+        of = np.array([number.setdefault(key, len(number)) for key in self.keys], np.int64)
+        width = max(len(self.words), 1)
+        piece, word = self.piece, self.word
+        if distinct:
+            pairs = np.sort(piece * width + word)
+            piece, word = np.divmod(pairs[np.diff(pairs, prepend=-1) > 0], width)
+        cells, n = np.unique(of[piece] * width + word, return_counts=True)
+        return list(number), cells // width, cells % width, n
+
+
+def _portions(batches: Iterator[pa.RecordBatch], pieces) -> Iterator[_Portion]:
+    """Rows ``(*key, text)``, their texts taken apart by ``pieces``."""
+    keys, held, size = [], [], 0
+    for batch in batches:
+        for *key, text in zip(*(column.to_pylist() for column in batch.columns)):
+            for piece in pieces(text):
+                keys.append(tuple(key))
+                held.append(piece)
+                size += len(piece) + 1
+                if size >= PORTION:
+                    yield _Portion.of(keys, held)
+                    keys, held, size = [], [], 0
+    if held:
+        yield _Portion.of(keys, held)
 
 
 def _read(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
@@ -103,13 +139,14 @@ def kept_terms(texts: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """``(ordinal, lang, term)``: terms in ``min_docs`` documents of a language, numbered by language and bytes."""
 
     @tidy
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for found in _flushed(batches, _add_distinct, lambda lang: lang):
-            for lang, terms in found.items():
-                words = pd.Series([t.decode() for t in terms], dtype=object)
-                yield pd.DataFrame({"lang": lang, "term": words, "n": list(terms.values())})
-
-    counts = texts.select("lang", "text").mapInPandas(count, "lang string, term string, n bigint")
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for portion in _portions(batches, _reduced):
+            langs, lang, word, n = portion.counts(distinct=True)
+            columns = [pa.array([k for (k,) in langs], pa.string()).take(pa.array(lang))]
+            columns += [portion.words.take(pa.array(word)).cast(pa.string()), pa.array(n)]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "term", "n"])
+
+    counts = texts.select("lang", "text").mapInArrow(count, "lang string, term string, n bigint")
     often = counts.groupBy("lang", "term").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs)
     # Terms hold no code point 0, so the key orders by language first.
     keyed = often.select(F.concat("lang", F.lit("\0"), "term").alias("key"), "lang", "term")
@@ -160,7 +197,7 @@ class Vocabulary:
         context, schema = texts.sparkSession.sparkContext, "lang string, source string, ordinal bigint, n bigint"
         counted = None
         for some in self._slices(limit):
-            part = texts.select("lang", "source", "text").mapInPandas(_counter(context.broadcast(some)), schema)
+            part = texts.select("lang", "source", "text").mapInArrow(_counter(context.broadcast(some)), schema)
             counted = part if counted is None else counted.union(part)
         if counted is None:
             counted = texts.sparkSession.createDataFrame([], schema)
@@ -174,41 +211,43 @@ def _counter(shared):
     """
 
     @tidy
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent = shared.value
         stepper = Stepper([Transducer.from_bytes(t) for *_, t in sent])
         own: dict[str, list[tuple[int, int, bytes]]] = defaultdict(list)
         for (lang, base, stored), root in zip(sent, stepper.roots):
             own[lang].append((base, root, Transducer.from_bytes(stored).word(0)))
-        for found in _flushed(batches, _add_all, lambda lang, source: (lang, source)):
-            by_lang: dict[str, set[bytes]] = defaultdict(set)
-            for (lang, _), counter in found.items():
-                if lang in own:
-                    by_lang[lang].update(counter)
-            ordinals = {lang: _ordinals(stepper, own[lang], list(words)) for lang, words in by_lang.items()}
-            rows = [
-                (lang, source, known[t], n)
-                for (lang, source), counter in found.items()
-                if (known := ordinals.get(lang))
-                for t, n in counter.items()
-                if t in known
-            ]
-            yield pd.DataFrame(rows, columns=["lang", "source", "ordinal", "n"])
+        for portion in _portions(batches, _pieces):
+            keys, key, word, n = portion.counts(distinct=False)
+            langs, sources = zip(*keys)
+            ordinal = np.full(len(n), -1, np.int64)
+            for name in own.keys() & set(langs):
+                rows = np.flatnonzero(np.array([lang == name for lang in langs])[key])
+                used, place = np.unique(word[rows], return_inverse=True)
+                ordinal[rows] = _ordinals(stepper, own[name], portion.words.take(pa.array(used)))[place]
+            known = np.flatnonzero(ordinal >= 0)
+            of = pa.array(key[known])
+            columns = [pa.array(names, pa.string()).take(of) for names in (langs, sources)]
+            columns += [pa.array(ordinal[known]), pa.array(n[known])]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "ordinal", "n"])
 
     return count
 
 
-def _ordinals(stepper: Stepper, shards: list[tuple[int, int, bytes]], words: list[bytes]) -> dict[bytes, int]:
-    """Numbers of those words that are known to one of the shards ``(first number, root, first word)``, in order."""
-    words.sort()
-    data = np.frombuffer(b"".join(words) + b"\0", np.uint8)
-    length = np.array([len(w) for w in words], np.int64)
-    start = np.cumsum(length) - length
-    bounds = [bisect_left(words, first) for *_, first in shards] + [len(words)]
-    found = {}
+def _ordinals(stepper: Stepper, shards: list[tuple[int, int, bytes]], words: pa.Array) -> np.ndarray:
+    """Numbers of words, -1 of those not known to one of the shards ``(first number, root, first word)``, in order."""
+    found = np.full(len(words), -1, np.int64)
+    if not len(words):
+        return found
+    order = pc.array_sort_indices(words).to_numpy()
+    ordered = words.take(pa.array(order))
+    offsets = np.frombuffer(ordered.buffers()[1], np.int32)[: len(words) + 1].astype(np.int64)
+    data = np.frombuffer(ordered.buffers()[2], np.uint8)
+    start, length = offsets[:-1], np.diff(offsets)
+    bounds = [bisect_left(range(len(words)), first, key=lambda i: ordered[i].as_py()) for *_, first in shards] + [len(words)]
     for (base, root, _), low, high in zip(shards, bounds, bounds[1:]):
         ranks = stepper.ranks(data, start[low:high], length[low:high], np.full(high - low, root))
-        found.update((words[low + at], base + int(ranks[at])) for at in np.flatnonzero(ranks >= 0))
+        found[order[low:high]] = np.where(ranks >= 0, base + ranks, -1)
     return found
 
 

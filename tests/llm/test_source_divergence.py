@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -112,3 +113,31 @@ def test_pieces_of_long_texts_hold_whole_terms(monkeypatch):
     text = "Ab cde-fghijklmno pé漢 x" * 3 + "y" * 50
     whole = re.findall("[^\x00-\x40\x5b-\x60\x7b-\x7f]+", text)
     assert [t.decode() for piece in S._terms(text) for t in piece] == ["".join(c.lower() if c.isascii() else c for c in t) for t in whole]
+
+
+def test_portions_of_texts_are_counted_as_arrays(monkeypatch):
+    texts = ["Up up, DOWN", "", "!?", "ünder up-\u00c9t\u00e9 up", "a b " * 40 + "Up", "\x0b\u0085up\ud800x up"]
+    rows = [("en", f"s{i % 2}", t) for i, t in enumerate(texts * 2)] + [("de", "s0", t) for t in texts[:4]] + [("fr", "s0", "!")]
+    found = [(*k, [b.lower().decode() for b in re.findall(rb"[A-Za-z\x80-\xff]+", t.encode("utf-8", "replace"))]) for *k, t in rows]
+    occurring = Counter((lang, source, w) for lang, source, words in found for w in words)
+    documents = Counter((lang, w) for lang, _, words in found for w in set(words))
+    for portion, piece in ((1 << 24, 1 << 20), (60, 8), (1, 1)):
+        monkeypatch.setattr(S, "PORTION", portion)
+        monkeypatch.setattr(S, "PIECE", piece)
+        for pieces, distinct, width, want in ((S._pieces, False, 2, occurring), (S._reduced, True, 1, documents)):
+            # Arrow takes no lone surrogates, rows of a batch are taken as they come.
+            batch = type("Batch", (), {"columns": [pa.array([r[i] for r in rows]) for i in range(width)] + [_Texts([r[2] for r in rows])]})
+            seen, given = Counter(), 0
+            for part in S._portions(iter([batch]), pieces):
+                keys, key, word, n = part.counts(distinct)
+                given += len(n)
+                for k, w, times in zip(key, part.words.take(pa.array(word)).to_pylist(), n):
+                    seen[(*keys[k], w.decode())] += int(times)
+            assert seen == want
+            if portion > 60:
+                assert given == len(want)  # equal words of a key come as one
+
+
+class _Texts(list):
+    def to_pylist(self):
+        return list(self)
